@@ -1,0 +1,5 @@
+"""Deliberately empty: every operator of this library is a batch operator.
+
+The system whose queries this library covers has no streaming source, window
+or stateful operator, so there is nothing to express with ``readStream``.
+"""
