@@ -55,12 +55,12 @@ def apply_generator(prompts: DataFrame, generate: Callable[..., Sequence[str]],
     """Add ``answer`` and ``error`` from ``generate(prompts, **options)``.
 
     ``generate`` gets a list of prompts and returns as many texts. A batch that
-    raises is repeated prompt by prompt, so an error marks its own row only.
+    raises is repeated prompt by prompt, so an error marks its own row only. Pass the
+    prompt and the columns that identify it; everything passed goes through Python.
     """
     settings = dict(GENERATION_OPTIONS if options is None else options)
     schema = StructType([*prompts.schema.fields, StructField("answer", StringType()),
                          StructField("error", StringType())])
-    keys = [c for c in prompts.columns if c != prompt_col]
 
     def one(prompt: str) -> tuple[str | None, str | None]:
         try:
@@ -83,25 +83,18 @@ def apply_generator(prompts: DataFrame, generate: Callable[..., Sequence[str]],
             done = [r for s in range(0, len(texts), batch_size) for r in several(texts[s:s + batch_size])]
             yield frame.assign(answer=[a for a, _ in done], error=[e for _, e in done])
 
-    # The chunk arrays stay out of Python: only the prompt and flat columns go in.
-    flat = [c for c in keys if not isinstance(prompts.schema[c].dataType, (StructType,))
-            and prompts.schema[c].dataType.typeName() not in ("array", "map", "udt")]
-    if len(flat) == len(keys):
-        return prompts.mapInPandas(run, schema)
-    slim = prompts.select(*flat, prompt_col)
-    slim_schema = StructType([*slim.schema.fields, *schema.fields[-2:]])
-    return slim.mapInPandas(run, slim_schema)
+    return prompts.mapInPandas(run, schema)
 
 
 def last_per_query(results: DataFrame, query_col: str = "query", order: str = "query_id") -> DataFrame:
-    """One result per query text: the last one, at the position of the first.
+    """One row per query text: the last one by ``order``, at the position of the first.
 
     The maximum is combined before the shuffle, so a text asked very often is cheap.
     """
     rest = [c for c in results.columns if c not in (query_col, order)]
-    latest = F.max_by(F.struct(*rest), F.col(order)).alias("__last")
-    return results.groupBy(query_col).agg(F.min(order).alias("position"), latest).select(
-        query_col, "position", *(F.col(f"__last.{c}").alias(c) for c in rest))
+    last = F.max_by(F.struct(order, *rest), F.col(order)).alias("__last")
+    return results.groupBy(query_col).agg(F.min(order).alias("position"), last).select(
+        query_col, "position", *(F.col(f"__last.{c}").alias(c) for c in [order, *rest]))
 
 
 def with_answers(results: DataFrame, raw_col: str = "answer", key: str = "answer") -> DataFrame:

@@ -121,40 +121,58 @@ def _check(size: int, overlap: int) -> None:
         raise ValueError("need size >= 1 and 0 <= overlap < size")
 
 
-def with_recursive_chunks(df: DataFrame, text_col: str, size: int, overlap: int,
-                          out_col: str = "chunks", when: Column | None = None,
-                          trim: bool = True) -> DataFrame:
-    """Add the array of chunks of ``text_col``.
-
-    Chunks are trimmed and empty ones dropped unless ``trim`` is off. Rows where
-    ``when`` does not hold keep their text as the only chunk, untouched.
-    """
+def _chunk_array(df: DataFrame, text_col: str, size: int, overlap: int, when: Column | None,
+                 trim: bool) -> tuple[DataFrame, Column]:
+    """Rows with their pieces and spans, and the expression of their chunks."""
     _check(size, overlap)
-    kept = df.columns
     cut = F.lit(True) if when is None else F.coalesce(when, F.lit(False))
-    # Three projections, so that pieces and spans are computed once per row.
+    # Separate projections, so that pieces and spans are computed once per row.
     pieces = df.withColumn("__pieces", F.when(cut, text_pieces(F.col(text_col), size, overlap)))
     spans = pieces.withColumn("__spans", _spans(F.col("__pieces"), size, overlap))
     joined = F.transform("__spans", lambda s: F.array_join(
         F.slice("__pieces", s["a"] + 1, s["b"] - s["a"])["t"], ""))
     if trim:
         joined = F.array_remove(F.transform(F.transform(joined, strip_left), strip_right), "")
-    return spans.select(*kept, F.when(cut, joined).otherwise(F.array(F.col(text_col))).alias(out_col))
+    return spans, F.when(cut, joined).otherwise(F.array(F.col(text_col)))
+
+
+def with_recursive_chunks(df: DataFrame, text_col: str, size: int, overlap: int,
+                          out_col: str = "chunks", when: Column | None = None,
+                          trim: bool = True) -> DataFrame:
+    """Add the array of chunks of ``text_col``.
+
+    Chunks are trimmed and empty ones dropped unless ``trim`` is off. Rows where
+    ``when`` does not hold keep their text as the only chunk, untouched.
+    """
+    spans, chunks = _chunk_array(df, text_col, size, overlap, when, trim)
+    return spans.select(*df.columns, chunks.alias(out_col))
+
+
+def recursive_chunks(df: DataFrame, text_col: str = "section_text", size: int = 512, overlap: int = 51,
+                     chunk_col: str = "text", number_col: str = "chunk_number",
+                     when: Column | None = None) -> DataFrame:
+    """One row per chunk, numbered from 1.
+
+    The expression goes into the generator itself: exploding a finished column would
+    make Spark push a size filter below the projections and compute the chunks again.
+    """
+    spans, chunks = _chunk_array(df, text_col, size, overlap, when, True)
+    kept = [c for c in df.columns if c != text_col]
+    return spans.select(*kept, F.posexplode(chunks).alias("__pos", "__chunk")).select(
+        *kept, (F.col("__pos") + 1).alias(number_col), F.col("__chunk").alias(chunk_col))
 
 
 def split_sections(planned: DataFrame, size: int = 512, overlap: int | None = None,
                    ids: tuple[str, ...] = ("year", "section_number"),
                    text_col: str = "section_text") -> DataFrame:
-    """Chunks of planned sections: ids, ``text`` and ``chunk_number`` from 1.
+    """Chunks of planned sections: ids, ``chunk_number`` from 1 and ``text``.
 
     ``planned`` carries ``requires_chunking`` from the chunk plan; a section that is
     not flagged, or has no plan row, passes through as chunk 1.
     """
     overlap = int(size * 0.1) if overlap is None else overlap
-    cut = with_recursive_chunks(planned, text_col, size, overlap, "__chunks",
-                                when=F.col("requires_chunking"))
-    return cut.select(*ids, F.posexplode("__chunks").alias("__pos", "text")).select(
-        *ids, "text", (F.col("__pos") + 1).alias("chunk_number"))
+    return recursive_chunks(planned, text_col, size, overlap, when=F.col("requires_chunking")).select(
+        *ids, "chunk_number", "text")
 
 
 def chunk_records(chunks: DataFrame) -> DataFrame:

@@ -16,14 +16,18 @@ from sheafline.session import stored
 def ask(questions: DataFrame, chunks: DataFrame, encoder, year: str | int,
         generate: Callable[..., Sequence[str]], *, k: int = 200, best: int = 1,
         template: str = DEFAULT_TEMPLATE, **retrieve_options) -> DataFrame:
-    """Questions (query_id, query) -> query, position, answer, error, chunks.
+    """Questions (query_id, query) -> query, position, query_id, answer, error, chunks.
 
     ``encoder`` is the fitted encoder of the chunk table; ``generate`` produces one
-    text per prompt. A question asked twice is answered once in the result.
+    text per prompt. The last of several equal questions gives the result, so only
+    that one is searched and answered. Prompts and answers are stored: a lost executor
+    or a second action repeats neither the search nor the generation.
     """
-    vectors = encoder.transform(questions, "query", "embeddings")
+    asked = last_per_query(questions)
+    vectors = encoder.transform(asked, "query", "embeddings")
     retrieved = retrieve(vectors, chunks, k, year, **retrieve_options)
     prompted = stored(render_prompts(with_context(retrieved, best), year, template), "prompts")
-    generated = apply_generator(prompted.select("query_id", "query", "prompt"), generate)
-    full = generated.drop("prompt", "query").join(prompted.drop("prompt", "context"), "query_id")
-    return with_answers(last_per_query(full))
+    answers = stored(apply_generator(prompted.select("query_id", "prompt"), generate), "answers")
+    found = answers.select("query_id", "answer", "error").join(
+        prompted.drop("prompt", "context"), "query_id")
+    return with_answers(found)
