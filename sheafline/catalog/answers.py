@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from sheafline.catalog.base import query, table
+from sheafline.catalog.base import documents_table, query, table
 from sheafline.catalog.retrieval import template_sql
 from sheafline.functions.answers import extract_answer
 from sheafline.operators.answering import apply_generator, last_per_query, render_prompts
@@ -69,9 +69,9 @@ def _last_result_per_query(spark, sf_dir):
 
 def _batch(spark, sf_dir):
     """All benchmark texts as questions over the chunks of all documents."""
-    sections = sections_view(table(spark, sf_dir, "documents"))
-    chunks = with_chunk_key(recursive_chunks(sections, size=2000, overlap=200),
-                            ("doc_id", "year", "section_number"))
+    sections = sections_view(documents_table(spark, sf_dir))
+    chunks = stored(with_chunk_key(recursive_chunks(sections, size=2000, overlap=200),
+                                   ("doc_id", "year", "section_number")), "chunks")
     vectors, encoder = build_vector_table(chunks)
     questions = table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query"))

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheafline.sources.filings import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}
@@ -36,6 +38,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents_table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """The documents, spread over the cores for work that is bound by CPU."""
+    return spread(table(spark, sf_dir, name))
+
+
 def r6(value: Column | str) -> Column:
     """Six decimals, without a negative zero."""
     column = F.col(value) if isinstance(value, str) else value

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheafline.catalog.base import query, r6, table
-from sheafline.catalog.filings import FILINGS_SQL, SECTIONS_SQL, filings
+from sheafline.catalog.base import documents_table, query, r6
+from sheafline.catalog.filings import SECTIONS_SQL, filings
 from sheafline.functions.text import section_name, token_count
 from sheafline.operators.chunk_plan import attach_plan, chunk_plan, section_token_stats
 from sheafline.operators.metrics import count_by, observed
@@ -120,19 +120,19 @@ FROM cut WHERE t <> ''"""
 @query("token_counts", f"""
 SELECT doc_id, CAST(len({WORDS_SQL.format(text='text')}) AS INTEGER) AS token_count FROM documents""")
 def _token_counts(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", token_count(F.col("text")).alias("token_count"))
+    return documents_table(spark, sf_dir).select("doc_id", token_count(F.col("text")).alias("token_count"))
 
 
 @query("section_token_stats", f"""
 SELECT section_number, max_tokens, round(mean_tokens, 6) AS mean_tokens,
        round(std_dev_tokens, 6) AS std_dev_tokens FROM ({STATS_SQL})""")
 def _section_token_stats(spark, sf_dir):
-    stats = section_token_stats(sections_view(table(spark, sf_dir, "documents")))
+    stats = section_token_stats(sections_view(documents_table(spark, sf_dir)))
     return stats.withColumns({c: r6(c) for c in ("mean_tokens", "std_dev_tokens")})
 
 
 def _plan(spark, sf_dir, limit):
-    return chunk_plan(section_token_stats(sections_view(table(spark, sf_dir, "documents"))), limit)
+    return chunk_plan(section_token_stats(sections_view(documents_table(spark, sf_dir))), limit)
 
 
 @query("chunk_plan", plan_sql(STATS_SQL, 4000))
@@ -144,7 +144,7 @@ def _chunk_plan(spark, sf_dir):
 SELECT doc_id, 'section_' || section_number AS section, requires_chunking, suggested_chunk_size, overlap
 FROM ({VIEW_SQL}) LEFT JOIN ({plan_sql(STATS_SQL, 4000)}) USING (section_number)""")
 def _chunk_plan_join(spark, sf_dir):
-    sections = sections_view(table(spark, sf_dir, "documents"))
+    sections = sections_view(documents_table(spark, sf_dir))
     planned = attach_plan(sections, _plan(spark, sf_dir, 4000))
     return planned.select("doc_id", section_name(F.col("section_number")).alias("section"),
                           "requires_chunking", "suggested_chunk_size", "overlap")
@@ -152,7 +152,7 @@ def _chunk_plan_join(spark, sf_dir):
 
 @query("word_chunks", word_chunks_sql("SELECT * FROM documents", "doc_id", "text"))
 def _word_chunks(spark, sf_dir):
-    return word_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    return word_chunks(documents_table(spark, sf_dir).select("doc_id", "text"), "text")
 
 
 SECTION_CHUNKS_SQL = word_chunks_sql(
@@ -162,7 +162,7 @@ SECTION_CHUNKS_SQL = word_chunks_sql(
 
 @query("section_word_chunks", SECTION_CHUNKS_SQL)
 def _section_word_chunks(spark, sf_dir):
-    return word_chunks(unpivot_sections(filings(spark, sf_dir), ("doc_id", "cik", "year")))
+    return word_chunks(unpivot_sections(filings(spark, sf_dir, heavy=True), ("doc_id", "cik", "year")))
 
 
 @query("chunks_per_section", f"""
@@ -175,7 +175,7 @@ def _chunks_per_section(spark, sf_dir):
 SELECT (SELECT count(*) FROM ({SECTIONS_SQL}) WHERE section_text <> '') AS n_sections,
        count(*) AS n_chunks, sum(length(chunk_text)) AS n_chars FROM ({SECTION_CHUNKS_SQL})""")
 def _run_metrics(spark, sf_dir):
-    sections, seen = observed(unpivot_sections(filings(spark, sf_dir), ("doc_id", "cik", "year")),
+    sections, seen = observed(unpivot_sections(filings(spark, sf_dir, heavy=True), ("doc_id", "cik", "year")),
                               "sections", n_sections=F.count(F.lit(1)))
     chunks, made = observed(word_chunks(sections), "chunks", n_chunks=F.count(F.lit(1)),
                             n_chars=F.sum(F.char_length("chunk_text")))
@@ -191,7 +191,7 @@ DOC_TEXTS = "SELECT doc_id AS rid, text AS txt FROM documents"
 @query("recursive_chunks", f"""
 SELECT rid AS doc_id, chunk_number, t AS text FROM ({recursive_sql(DOC_TEXTS, 512, 51)})""")
 def _recursive_chunks(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = documents_table(spark, sf_dir).select("doc_id", "text")
     return recursive_chunks(documents, "text", 512, 51)
 
 
@@ -199,7 +199,7 @@ def _recursive_chunks(spark, sf_dir):
 SELECT doc_id, md5(text) AS text_md5, length(text) AS n_chars FROM documents""")
 def _recursive_chunks_lossless(spark, sf_dir):
     """Without overlap and trimming the chunks are the text."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = documents_table(spark, sf_dir).select("doc_id", "text")
     again = F.array_join("chunks", "")
     return with_recursive_chunks(documents, "text", 512, 0, trim=False).select(
         "doc_id", F.md5(again).alias("text_md5"), F.char_length(again).cast("long").alias("n_chars"))
@@ -214,7 +214,7 @@ SELECT doc_id, "year", section_number, chunk_number, t
 FROM ({VIEW_SQL}) JOIN ({recursive_sql(DOC_TEXTS, 4000, 400)}) ON rid = doc_id
 WHERE section_number IN (SELECT section_number FROM flagged)""")
 def _planned_chunks(spark, sf_dir):
-    return plan_and_split(sections_view(table(spark, sf_dir, "documents")), 4000,
+    return plan_and_split(sections_view(documents_table(spark, sf_dir)), 4000,
                           ids=("doc_id", "year", "section_number"))
 
 
@@ -240,7 +240,7 @@ SELECT *, concat_ws('/', doc_id, "year", section_number, chunk_number) AS chunk_
 
 @query("company_chunks", COMPANY_CHUNKS_SQL)
 def _company_chunks(spark, sf_dir):
-    return company_chunks(filings(spark, sf_dir), ["2018", "2019", "2020"], "src3", filing_id="doc_id")
+    return company_chunks(filings(spark, sf_dir, heavy=True), ["2018", "2019", "2020"], "src3", filing_id="doc_id")
 
 
 @query("chunk_metadata_struct", f"""
@@ -248,5 +248,5 @@ SELECT to_json({{'year': "year", 'section_number': section_number, 'chunk_number
        md5(t) AS text_md5
 FROM ({VIEW_SQL}) JOIN ({recursive_sql(DOC_TEXTS, 512, 51)}) ON rid = doc_id""")
 def _chunk_metadata_struct(spark, sf_dir):
-    sections = sections_view(table(spark, sf_dir, "documents"))
+    sections = sections_view(documents_table(spark, sf_dir))
     return chunk_records(recursive_chunks(sections)).select(F.to_json("metadata").alias("metadata"), F.md5("text").alias("text_md5"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheafline.catalog.base import query, table
+from sheafline.catalog.base import documents_table, query, table
 from sheafline.functions.text import section_name, section_number
 from sheafline.operators.metrics import count_by
 from sheafline.operators.sections import unpivot_sections
@@ -34,8 +34,9 @@ WHERE s.section_text IS NOT NULL
 """
 
 
-def filings(spark, sf_dir):
-    return filings_view(table(spark, sf_dir, "documents"))
+def filings(spark, sf_dir, heavy=False):
+    """The filings view; ``heavy`` for work that is bound by CPU."""
+    return filings_view((documents_table if heavy else table)(spark, sf_dir, "documents"))
 
 
 @query("filings_view", FILINGS_SQL)

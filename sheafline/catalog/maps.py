@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
-from sheafline.catalog.base import query, r6, table
+from sheafline.catalog.base import documents_table, query, r6, table
 from sheafline.catalog.chunks import SECTION_CHUNKS_SQL, word_chunks_sql
 from sheafline.catalog.filings import filings
 from sheafline.functions.vectors import as_array, components, euclidean
@@ -24,7 +24,7 @@ DOC_CHUNKS_SQL = word_chunks_sql("SELECT * FROM documents", "doc_id", "text")
 
 
 def embedded_documents(spark, sf_dir, dimensions=256):
-    chunks = word_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    chunks = word_chunks(documents_table(spark, sf_dir).select("doc_id", "text"), "text")
     return embed_text(chunks, "chunk_text", HashingEncoder(dimensions))
 
 
@@ -211,7 +211,7 @@ def _process_embeddings(spark, sf_dir):
 
 @query("document_map")
 def _document_map(spark, sf_dir):
-    points, _ = document_map(filings(spark, sf_dir))
+    points, _ = document_map(filings(spark, sf_dir, heavy=True))
     return plot_table(points)
 
 
@@ -220,7 +220,7 @@ SELECT replace(section, 'section_', '') AS "Section", count(*) AS n_points,
        count(*) AS n_placed FROM ({SECTION_CHUNKS_SQL}) WHERE cik IS NOT NULL GROUP BY section""")
 def _document_map_sections(spark, sf_dir):
     """Every chunk of a company's filing is on the map once, with all its values."""
-    points, _ = document_map(filings(spark, sf_dir))
+    points, _ = document_map(filings(spark, sf_dir, heavy=True))
     placed = F.col("PC1").isNotNull() & F.col("PC2").isNotNull() & F.col("Cluster").between(0, 4) & F.col(
         "Is_Outlier").isin(0, 1)
     return plot_table(points).groupBy("Section").agg(

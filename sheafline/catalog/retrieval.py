@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from sheafline.catalog.base import query, r6, table
+from sheafline.catalog.base import documents_table, query, r6, table
 from sheafline.operators.answering import DEFAULT_TEMPLATE, render_prompts
 from sheafline.operators.neighbors import nearest, nearest_by_hash
-from sheafline.operators.retrieval import attach_chunks, first_by_content, in_year, retrieve, with_context
+from sheafline.operators.retrieval import (
+    attach_chunks, digest, first_by_content, in_year, retrieve, with_context,
+)
 from sheafline.plans.company_ingest import company_ingest
 from sheafline.catalog.filings import filings
-from sheafline.session import scratch_path
+from sheafline.session import scratch_path, stored
 from sheafline.sources.sinks import (
     read_results_json, read_vector_table, result_records, write_results_json, write_vector_table,
 )
@@ -83,7 +85,7 @@ SELECT query_id, chunk_key, "rank", "year" FROM ({ranked_sql(200)}) JOIN ({CHUNK
 WHERE "year" = '2020'""")
 def _topk_postfilter(spark, sf_dir):
     chunks = vector_chunks(spark, sf_dir)
-    ranked = nearest(vector_queries(spark, sf_dir), chunks, 200)
+    ranked = stored(nearest(vector_queries(spark, sf_dir), chunks, 200), "ranked")
     hits = in_year(attach_chunks(ranked, chunks.select("chunk_key", "year")), 2020)
     return hits.select("query_id", "chunk_key", "rank", "year")
 
@@ -93,8 +95,8 @@ SELECT lang, doc_id, source, md5(text) AS text_md5 FROM (
   SELECT *, row_number() OVER (PARTITION BY lang, text ORDER BY doc_id) AS n FROM documents)
 WHERE n = 1""")
 def _dedupe_by_content(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("lang", "doc_id", "source", "text")
-    unique = first_by_content(documents, ["lang"], "text", ["doc_id"])
+    documents = documents_table(spark, sf_dir).select("lang", "doc_id", "source", "text")
+    unique = first_by_content(documents, ["lang"], digest(F.col("text")), ["doc_id"])
     return unique.select("lang", "doc_id", "source", F.md5("text").alias("text_md5"))
 
 
@@ -203,6 +205,6 @@ def _json_results_roundtrip(spark, sf_dir):
 @query("company_ingest")
 def _company_ingest(spark, sf_dir):
     path = scratch_path(spark, "company")
-    stored_table, _ = company_ingest(filings(spark, sf_dir), ["2018", "2019", "2020"], "src3", path,
+    stored_table, _ = company_ingest(filings(spark, sf_dir, heavy=True), ["2018", "2019", "2020"], "src3", path,
                                      filing_id="doc_id")
     return stored_table.withColumn("embeddings", vector_to_array("embeddings", "float32"))

@@ -20,11 +20,18 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from sheafline.functions.vectors import as_array
 from sheafline.operators.mapping import with_vector
+from sheafline.session import stored
 
 # Queries up to this number travel to every task; more are compared block by block.
 MAX_BROADCAST_QUERIES = 4096
-# Rows of one side that one block comparison holds in memory.
-BLOCK_ROWS = 50_000
+# Rows that one block comparison holds in memory: chunks as 4-byte floats, queries
+# with their k best chunks.
+CHUNK_BLOCK_ROWS = 200_000
+QUERY_BLOCK_ROWS = 20_000
+# Tasks of a pass over the chunks; each one hands k rows per query to the merge, so
+# small splits of a large table share a task.
+MAX_SCAN_TASKS = 4096
+SLICE_ROWS = 10_000
 # Salted blocks listed in a broadcast; the block size grows with the data to keep it.
 MAX_HOT_BLOCKS = 200_000
 MERGE_GROUPS = 64
@@ -32,7 +39,7 @@ PAIRS_AT_ONCE = 65_536
 
 
 def as_matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Arrow lists of equal length as a float64 matrix."""
+    """Arrow lists of equal length as a matrix, without a copy."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     if len(vectors) == 0:
@@ -41,7 +48,7 @@ def as_matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     width = len(flat) // len(vectors)
     if not np.all(np.diff(vectors.offsets.to_numpy()) == width):
         raise ValueError("vectors differ in length")
-    return flat.astype(np.float64).reshape(len(vectors), width)
+    return flat.reshape(len(vectors), width)
 
 
 def _unit_rows(m: np.ndarray) -> np.ndarray:
@@ -54,6 +61,7 @@ class BestChunks:
 
     def __init__(self, queries: np.ndarray, k: int, metric: str):
         self.k, self.metric = k, metric
+        queries = queries.astype(np.float64)
         self.q = _unit_rows(queries) if metric == "cosine" else queries
         self.q_sq = (self.q * self.q).sum(axis=1)
         self.bound = np.full(len(queries), np.inf)
@@ -69,12 +77,17 @@ class BestChunks:
         return out
 
     def add(self, x: np.ndarray, keys: np.ndarray) -> None:
-        """Compare with a block of chunks.
+        """Compare with a block of chunks, a slice at a time."""
+        for s in range(0, len(x), SLICE_ROWS):
+            self._add_slice(x[s:s + SLICE_ROWS].astype(np.float64), keys[s:s + SLICE_ROWS])
+
+    def _add_slice(self, x: np.ndarray, keys: np.ndarray) -> None:
+        """One slice.
 
         The matrix product is only a filter: everything within its rounding error of
         the k-th best is measured again exactly.
         """
-        if len(x) == 0 or len(self.q) == 0:
+        if len(self.q) == 0:
             return
         if self.metric == "cosine":
             x = _unit_rows(x)
@@ -158,7 +171,8 @@ def _compare_with_all(chunks: DataFrame, query_rows: pa.Table, schema: StructTyp
             best.add(as_matrix(b.column("__vector")), b.column(chunk_key).to_numpy(zero_copy_only=False))
         yield from best.table(ids, arrow).to_batches()
 
-    return chunks.mapInArrow(scan, schema)
+    tasks = max(MAX_SCAN_TASKS, 4 * chunks.sparkSession.sparkContext.defaultParallelism)
+    return chunks.coalesce(tasks).mapInArrow(scan, schema)
 
 
 def _salted(df: DataFrame, block: list[str], key: str, mine: str, other: str,
@@ -179,9 +193,9 @@ def _hot_parts(df: DataFrame, block: list[str], name: str, rows: int) -> DataFra
     return df.groupBy(*block).agg(parts.alias(f"n_{name}")).where(F.col(f"n_{name}") > 1)
 
 
-def _block_rows(n_rows: int) -> int:
+def _block_rows(df: DataFrame, least: int) -> int:
     """Rows per block part: at most MAX_HOT_BLOCKS blocks can be larger than this."""
-    return max(BLOCK_ROWS, n_rows // MAX_HOT_BLOCKS + 1)
+    return max(least, df.count() // MAX_HOT_BLOCKS + 1)
 
 
 def _compare_by_block(chunks: DataFrame, queries: DataFrame, block: list[str], schema: StructType,
@@ -193,8 +207,8 @@ def _compare_by_block(chunks: DataFrame, queries: DataFrame, block: list[str], s
     hot the block is. The hot blocks are a counted minority: at most rows / part size.
     """
     query_id, chunk_key = schema.names[:2]
-    c_rows = block_rows or _block_rows(chunks.count())
-    q_rows = block_rows or _block_rows(queries.count())
+    c_rows = block_rows or _block_rows(chunks, CHUNK_BLOCK_ROWS)
+    q_rows = block_rows or _block_rows(queries, QUERY_BLOCK_ROWS)
     c_parts = _hot_parts(chunks, block, "c_part", c_rows)
     q_parts = _hot_parts(queries, block, "q_part", q_rows)
     left = _salted(chunks, block, chunk_key, "c_part", "q_part", c_parts, q_parts)
@@ -205,10 +219,8 @@ def _compare_by_block(chunks: DataFrame, queries: DataFrame, block: list[str], s
     def compare(chunk_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
         best = BestChunks(as_matrix(query_rows["__vector"]), k, metric)
         if chunk_rows.num_rows and query_rows.num_rows:
-            x = as_matrix(chunk_rows["__vector"])
-            keys = _flat(chunk_rows[chunk_key]).to_numpy(zero_copy_only=False)
-            for s in range(0, len(x), 10_000):
-                best.add(x[s:s + 10_000], keys[s:s + 10_000])
+            best.add(as_matrix(chunk_rows["__vector"]),
+                     _flat(chunk_rows[chunk_key]).to_numpy(zero_copy_only=False))
         return best.table(_flat(query_rows[query_id]), arrow)
 
     return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(compare, schema)
@@ -257,7 +269,7 @@ def nearest(queries: DataFrame, chunks: DataFrame, k: int = 200, *, query_id: st
 
 def nearest_by_hash(queries: DataFrame, chunks: DataFrame, k: int = 200, *, query_id: str = "query_id",
                     query_vector: str = "embeddings", chunk_key: str = "chunk_key",
-                    chunk_vector: str = "embeddings", bucket_length: float = 4.0, tables: int = 4,
+                    chunk_vector: str = "embeddings", bucket_length: float = 1.0, tables: int = 4,
                     seed: int = 7, block_rows: int | None = None) -> DataFrame:
     """Approximate mode for query tables too large to compare with every chunk.
 
@@ -265,6 +277,8 @@ def nearest_by_hash(queries: DataFrame, chunks: DataFrame, k: int = 200, *, quer
     hash table, are compared; within those the distances and the ranking are exact.
     Larger ``bucket_length`` and more ``tables`` find more.
     """
+    if k < 1:
+        raise ValueError("need k >= 1")
     schema = _result_schema(queries, chunks, query_id, chunk_key)
     q = with_vector(_vectors_only(queries, query_id, query_vector), "__vector")
     c = with_vector(_vectors_only(chunks, chunk_key, chunk_vector), "__vector")
@@ -277,7 +291,9 @@ def nearest_by_hash(queries: DataFrame, chunks: DataFrame, k: int = 200, *, quer
             F.posexplode("__hashes").alias("__table", "__hash"),
         ).withColumn("__bucket", F.get(vector_to_array("__hash"), F.lit(0)).cast("long")).drop("__hash")
 
-    found = _compare_by_block(hashed(c, chunk_key), hashed(q, query_id), ["__table", "__bucket"],
-                              schema, k, "l2", block_rows)
+    # Stored, because the bucket counts and the comparison both read them.
+    found = _compare_by_block(stored(hashed(c, chunk_key), "hashed-chunks"),
+                              stored(hashed(q, query_id), "hashed-queries"),
+                              ["__table", "__bucket"], schema, k, "l2", block_rows)
     once = found.groupBy(query_id, chunk_key).agg(F.min("distance").alias("distance"))
     return keep_best(once, k, query_id, chunk_key)

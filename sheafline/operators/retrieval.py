@@ -23,15 +23,25 @@ def build_vector_table(chunks: DataFrame, encoder=None, text_col: str = "text",
     return fitted.transform(chunks, text_col, out_col), fitted
 
 
+def broadcast_if_small(rows: DataFrame) -> DataFrame:
+    """Hint a broadcast for a stored table of hits that was counted to be small."""
+    few = rows.limit(MAX_BROADCAST_HITS + 1).count() <= MAX_BROADCAST_HITS
+    return F.broadcast(rows) if few else rows
+
+
 def attach_chunks(ranked: DataFrame, chunks: DataFrame, chunk_key: str = "chunk_key") -> DataFrame:
-    """Fetch text and metadata of the ranked chunks.
+    """Add columns of the chunk table to ranked hits.
 
-    ``ranked`` is stored and counted. While it is small it is broadcast, so that the
-    chunk table is read where it lies; otherwise it is a shuffle join.
+    The hits are broadcast while they are few, so that the chunk table is read where
+    it lies; otherwise it is a shuffle join. Pass a stored ``ranked``.
     """
-    ranked = stored(ranked, "ranked")
-    few = ranked.limit(MAX_BROADCAST_HITS + 1).count() <= MAX_BROADCAST_HITS
-    return chunks.join(F.broadcast(ranked) if few else ranked, chunk_key)
+    return chunks.join(broadcast_if_small(ranked), chunk_key)
+
+
+def chunks_found(ranked: DataFrame, chunks: DataFrame, chunk_key: str = "chunk_key") -> DataFrame:
+    """The rows of the chunk table that any query has found, each once."""
+    keys = broadcast_if_small(ranked.select(chunk_key).distinct())
+    return chunks.join(keys, chunk_key, "left_semi")
 
 
 def in_year(hits: DataFrame, year: str | int, column: str = "year") -> DataFrame:
@@ -40,15 +50,20 @@ def in_year(hits: DataFrame, year: str | int, column: str = "year") -> DataFrame
     return hits.where(F.col(column) == F.lit(str(year)))
 
 
-def first_by_content(rows: DataFrame, group: Sequence[str], content: str, order: Sequence[str]) -> DataFrame:
-    """One row per group and content: the first in ``order``.
+def digest(content: Column) -> Column:
+    """Stands for a content in comparisons."""
+    return F.sha2(content, 256)
+
+
+def first_by_content(rows: DataFrame, group: Sequence[str], same: Column, order: Sequence[str]) -> DataFrame:
+    """One row per group and content: the first in ``order``. ``same`` is the digest.
 
     A minimum per (group, content digest), combined before the shuffle, so that a
     content that fills a third of the table reaches the reducers once per task.
     """
     rest = [c for c in rows.columns if c not in group and c not in order]
     first = F.min(F.struct(*order, *rest)).alias("__first")
-    return (rows.groupBy(*group, F.sha2(F.col(content), 256).alias("__digest")).agg(first)
+    return (rows.groupBy(*group, same.alias("__digest")).agg(first)
             .select(*group, *(F.col(f"__first.{c}").alias(c) for c in [*order, *rest]))
             .select(*rows.columns))
 
@@ -75,15 +90,23 @@ def retrieve(queries: DataFrame, chunks: DataFrame, k: int = 200, year: str | in
 
     Returns the queries with an array ``chunks`` of hits in rank order. ``find`` is
     the search, :func:`nearest` or :func:`nearest_by_hash`.
+
+    The text of the chunk table is read once, for the chunks that any query found;
+    duplicates are removed on keys and digests, before the texts are joined.
     """
-    ranked = find(queries, chunks, k, query_id=query_id, query_vector=query_vector,
-                  chunk_key=chunk_key, chunk_vector=chunk_vector, **find_options)
-    shown = chunks.select(chunk_key, content, *[m for m in metadata if m not in (chunk_key, content)])
-    hits = attach_chunks(ranked, shown, chunk_key)
+    ranked = stored(find(queries, chunks, k, query_id=query_id, query_vector=query_vector,
+                         chunk_key=chunk_key, chunk_vector=chunk_vector, **find_options), "ranked")
+    columns = [c for c in dict.fromkeys([*metadata, content]) if c != chunk_key]
+    shown = chunks.select(chunk_key, *columns)
+    # The ranks are fixed by now, so the year may be applied to the chunk side.
     if year is not None:
-        hits = in_year(hits, year)
-    unique = first_by_content(hits, [query_id], content, ["rank"])
-    collected = collect_chunks(unique, query_id, content, metadata, (chunk_key,))
+        shown = in_year(shown, year)
+    found = stored(chunks_found(ranked, shown, chunk_key).withColumn(
+        "__same", digest(F.col(content))), "found-chunks")
+    unique = first_by_content(attach_chunks(ranked, found.select(chunk_key, "__same"), chunk_key),
+                              [query_id], F.col("__same"), ["rank"])
+    hits = unique.drop("__same").join(found.drop("__same"), chunk_key)
+    collected = collect_chunks(hits, query_id, content, metadata, (chunk_key,))
     return with_chunks(queries.drop(query_vector), collected, query_id)
 
 

@@ -29,6 +29,16 @@ def read_filings(spark: SparkSession, path: str, years: Sequence[str] | None = N
     return filings
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a scan with fewer splits than cores one task per core.
+
+    Chunking and encoding are bound by CPU, and one large Parquet row group is one
+    task. Tables with enough splits, so all large ones, are returned as they are.
+    """
+    wanted = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def in_years(filings: DataFrame, years: Sequence[str]) -> DataFrame:
     """Rows of the given years, each once, in a single scan."""
     return filings.where(F.col("year").isin([str(y) for y in years]))
