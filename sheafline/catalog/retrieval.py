@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from sheafline.catalog.base import documents_table, query, r6, table
+from sheafline.catalog.base import query, r6, table
 from sheafline.operators.answering import DEFAULT_TEMPLATE, render_prompts
 from sheafline.operators.neighbors import nearest, nearest_by_hash
 from sheafline.operators.retrieval import (
@@ -95,9 +95,9 @@ SELECT lang, doc_id, source, md5(text) AS text_md5 FROM (
   SELECT *, row_number() OVER (PARTITION BY lang, text ORDER BY doc_id) AS n FROM documents)
 WHERE n = 1""")
 def _dedupe_by_content(spark, sf_dir):
-    documents = documents_table(spark, sf_dir).select("lang", "doc_id", "source", "text")
-    unique = first_by_content(documents, ["lang"], digest(F.col("text")), ["doc_id"])
-    return unique.select("lang", "doc_id", "source", F.md5("text").alias("text_md5"))
+    documents = table(spark, sf_dir, "documents").select(
+        "lang", "doc_id", "source", F.md5("text").alias("text_md5"), digest(F.col("text")).alias("same"))
+    return first_by_content(documents, ["lang"], F.col("same"), ["doc_id"]).drop("same")
 
 
 HITS_SQL = f"""
