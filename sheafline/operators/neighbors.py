@@ -24,10 +24,8 @@ from sheafline.session import stored
 
 # Queries up to this number travel to every task; more are compared block by block.
 MAX_BROADCAST_QUERIES = 4096
-# Rows that one block comparison holds in memory: chunks as 4-byte floats, queries
-# with their k best chunks.
-CHUNK_BLOCK_ROWS = 200_000
-QUERY_BLOCK_ROWS = 20_000
+# Memory of each side of one block comparison.
+BLOCK_BYTES = 256 * 2**20
 # Tasks of a pass over the chunks; each one hands k rows per query to the merge, so
 # small splits of a large table share a task.
 MAX_SCAN_TASKS = 4096
@@ -193,9 +191,10 @@ def _hot_parts(df: DataFrame, block: list[str], name: str, rows: int) -> DataFra
     return df.groupBy(*block).agg(parts.alias(f"n_{name}")).where(F.col(f"n_{name}") > 1)
 
 
-def _block_rows(df: DataFrame, least: int) -> int:
-    """Rows per block part: at most MAX_HOT_BLOCKS blocks can be larger than this."""
-    return max(least, df.count() // MAX_HOT_BLOCKS + 1)
+def _block_rows(df: DataFrame, row_bytes: int) -> int:
+    """Rows per block part: what fits the memory, or more where the data is so large
+    that MAX_HOT_BLOCKS blocks could otherwise exceed it."""
+    return max(BLOCK_BYTES // row_bytes, df.count() // MAX_HOT_BLOCKS + 1)
 
 
 def _compare_by_block(chunks: DataFrame, queries: DataFrame, block: list[str], schema: StructType,
@@ -207,8 +206,12 @@ def _compare_by_block(chunks: DataFrame, queries: DataFrame, block: list[str], s
     hot the block is. The hot blocks are a counted minority: at most rows / part size.
     """
     query_id, chunk_key = schema.names[:2]
-    c_rows = block_rows or _block_rows(chunks, CHUNK_BLOCK_ROWS)
-    q_rows = block_rows or _block_rows(queries, QUERY_BLOCK_ROWS)
+    c_rows = q_rows = block_rows
+    if block_rows is None:
+        width = (queries.select(F.size("__vector")).first() or [1])[0]
+        # A chunk is its floats; a query its doubles and k results of 24 bytes.
+        c_rows = _block_rows(chunks, 4 * width)
+        q_rows = _block_rows(queries, 8 * width + 24 * k)
     c_parts = _hot_parts(chunks, block, "c_part", c_rows)
     q_parts = _hot_parts(queries, block, "q_part", q_rows)
     left = _salted(chunks, block, chunk_key, "c_part", "q_part", c_parts, q_parts)
