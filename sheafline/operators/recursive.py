@@ -17,47 +17,64 @@ from pyspark.sql import functions as F
 
 from sheafline.functions.text import strip_left, strip_right
 
-# The boundaries in order of preference, as patterns that match one
-# piece each (for the blank line) or the place before a piece.
-BLANK_LINE_PIECE = r"(?s)(?:\n\n|\A).*?(?=\n\n|\z)"
-BEFORE_LINE = r"(?=\n)"
-BEFORE_SPACE = r"(?= )"
+# The boundaries in order of preference.
+BLANK_LINE, LINE, SPACE = "\n\n", "\n", " "
 
 
-def _piece(text: Column, run: Column) -> Column:
-    return F.struct(text.alias("t"), F.char_length(text).alias("n"), run.alias("run"))
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once for all its uses in ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _slices(word: Column, size: int, overlap: int, run: Column) -> Column:
+def _piece(text: Column, length: Column, fresh: Column) -> Column:
+    return F.struct(text.alias("t"), length.alias("n"), fresh.alias("fresh"))
+
+
+def _slices(word: Column, size: int, overlap: int) -> Column:
     """Windows over a word without any boundary; each is a run of its own."""
     step = size - overlap
     count = F.ceil((F.char_length(word) - overlap) / F.lit(step)).cast("int")
     return F.transform(
         F.sequence(F.lit(0), count - 1),
-        lambda i: _piece(F.substring(word, i * step + 1, F.lit(size)), F.concat_ws(".", run, i)),
+        lambda i: _let(F.substring(word, i * step + 1, F.lit(size)),
+                       lambda t: _piece(t, F.char_length(t), F.lit(True))),
     )
 
 
-def _break(parts: Column, size: int, run: Column, deeper) -> Column:
-    """Turn parts into pieces; parts over ``size`` are handed to ``deeper``."""
-    return F.flatten(F.transform(
-        F.array_remove(parts, ""),
-        lambda part, i: F.when(F.char_length(part) <= size, F.array(_piece(part, run)))
-        .otherwise(deeper(part, F.concat_ws(".", run, i))),
-    ))
+def _break(text: Column, sep: str, size: int, deeper) -> Column:
+    """Pieces of ``text`` cut before every ``sep``; longer ones go to ``deeper``.
+
+    Splitting at a plain separator and putting it back costs less than a look-ahead
+    pattern. A piece is ``fresh`` if it begins a run: it is the first of its parent or
+    follows a part that was broken further.
+    """
+    none = F.array().cast("array<struct<t:string,n:int,fresh:boolean>>")
+
+    def pieces(parts: Column) -> Column:
+        def length(part, i):
+            return F.char_length(part) + F.when(i > 0, F.lit(len(sep))).otherwise(F.lit(0))
+
+        def one(part, i):
+            whole = F.when(i > 0, F.concat(F.lit(sep), part)).otherwise(part)
+            before = F.get(parts, i - 1)
+            fresh = (i == 0) | (length(before, i - 1) > size) | ((i == 1) & (before == ""))
+            return (F.when((i == 0) & (part == ""), none)
+                    .when(length(part, i) <= size, F.array(_piece(whole, length(part, i), fresh)))
+                    .otherwise(deeper(whole)))
+        return F.flatten(F.transform(parts, one))
+
+    return _let(F.split(text, sep), pieces)
 
 
 def text_pieces(text: Column, size: int, overlap: int) -> Column:
-    """``array<struct<t, n, run>>`` of pieces no longer than ``size``."""
-    def by_word(part, run):
-        return _break(F.split(part, BEFORE_SPACE), size, run,
-                      lambda word, r: _slices(word, size, overlap, r))
+    """``array<struct<t, n, fresh>>`` of pieces no longer than ``size``."""
+    def by_word(part):
+        return _break(part, SPACE, size, lambda word: _slices(word, size, overlap))
 
-    def by_line(part, run):
-        return _break(F.split(part, BEFORE_LINE), size, run, by_word)
+    def by_line(part):
+        return _break(part, LINE, size, by_word)
 
-    blocks = F.regexp_extract_all(text, F.lit(BLANK_LINE_PIECE), F.lit(0))
-    return _break(blocks, size, F.lit("r"), by_line)
+    return _break(text, BLANK_LINE, size, by_line)
 
 
 def _spans(pieces: Column, size: int, overlap: int) -> Column:
@@ -65,7 +82,6 @@ def _spans(pieces: Column, size: int, overlap: int) -> Column:
     start = F.struct(
         F.array().cast("array<struct<a:int,b:int>>").alias("done"),
         F.lit(0).alias("first"), F.lit(0).alias("width"), F.lit(0).alias("i"),
-        F.lit("").alias("run"),
     )
 
     def span(state):
@@ -87,28 +103,22 @@ def _spans(pieces: Column, size: int, overlap: int) -> Column:
             )
         return F.aggregate(tail, zero, widen)
 
-    def state_of(done, first, width, i, run):
-        return F.struct(done.alias("done"), first.alias("first"), width.alias("width"),
-                        i.alias("i"), run.alias("run"))
+    def state_of(done, first, width, i):
+        return F.struct(done.alias("done"), first.alias("first"), width.alias("width"), i.alias("i"))
 
     def add(state, piece):
         following = state["i"] + 1
-        same_run = state["run"] == piece["run"]
-        fits = state_of(state["done"], state["first"], state["width"] + piece["n"], following, piece["run"])
+        fits = state_of(state["done"], state["first"], state["width"] + piece["n"], following)
         done = F.when(state["i"] == 0, state["done"]).otherwise(F.concat(state["done"], F.array(span(state))))
-        fresh = state_of(done, state["i"], piece["n"], following, piece["run"])
+        fresh = state_of(done, state["i"], piece["n"], following)
         if overlap == 0:
             overflow = fresh
         else:
-            # A one-element transform binds the tail once for both of its uses.
-            overflow = F.get(F.transform(
-                F.array(kept_tail(state, piece)),
-                lambda tail: state_of(done, state["i"] - tail["count"], tail["width"] + piece["n"],
-                                      following, piece["run"]),
-            ), F.lit(0))
-        return (F.when(same_run & (state["width"] + piece["n"] <= size), fits)
-                .when(same_run, overflow)
-                .otherwise(fresh))
+            overflow = _let(kept_tail(state, piece), lambda tail: state_of(
+                done, state["i"] - tail["count"], tail["width"] + piece["n"], following))
+        return (F.when(piece["fresh"], fresh)
+                .when(state["width"] + piece["n"] <= size, fits)
+                .otherwise(overflow))
 
     def close(state):
         return F.when(state["i"] == 0, state["done"]).otherwise(F.concat(state["done"], F.array(span(state))))
