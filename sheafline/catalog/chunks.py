@@ -173,7 +173,7 @@ def _chunks_per_section(spark, sf_dir):
 
 @query("run_metrics", f"""
 SELECT (SELECT count(*) FROM ({SECTIONS_SQL}) WHERE section_text <> '') AS n_sections,
-       count(*) AS n_chunks, sum(length(chunk_text)) AS n_chars FROM ({SECTION_CHUNKS_SQL})""")
+       count(*) AS n_chunks, CAST(sum(length(chunk_text)) AS BIGINT) AS n_chars FROM ({SECTION_CHUNKS_SQL})""")
 def _run_metrics(spark, sf_dir):
     sections, seen = observed(unpivot_sections(filings(spark, sf_dir, heavy=True), ("doc_id", "cik", "year")),
                               "sections", n_sections=F.count(F.lit(1)))
@@ -244,9 +244,12 @@ def _company_chunks(spark, sf_dir):
 
 
 @query("chunk_metadata_struct", f"""
-SELECT to_json({{'year': "year", 'section_number': section_number, 'chunk_number': chunk_number}}) AS metadata,
-       md5(t) AS text_md5
+SELECT to_json({{'year': "year", 'section_number': section_number, 'chunk_number': chunk_number}}) ::VARCHAR AS metadata,
+       "year", section_number, chunk_number, md5(t) AS text_md5
 FROM ({VIEW_SQL}) JOIN ({recursive_sql(DOC_TEXTS, 512, 51)}) ON rid = doc_id""")
 def _chunk_metadata_struct(spark, sf_dir):
     sections = sections_view(documents_table(spark, sf_dir))
-    return chunk_records(recursive_chunks(sections)).select(F.to_json("metadata").alias("metadata"), F.md5("text").alias("text_md5"))
+    return chunk_records(recursive_chunks(sections)).select(
+        F.to_json("metadata").alias("metadata"), F.col("metadata.year").alias("year"),
+        F.col("metadata.section_number").alias("section_number"),
+        F.col("metadata.chunk_number").alias("chunk_number"), F.md5("text").alias("text_md5"))

@@ -8,8 +8,9 @@ from sheafline.catalog.base import documents_table, query, table
 from sheafline.functions.text import section_name, section_number
 from sheafline.operators.metrics import count_by
 from sheafline.operators.sections import unpivot_sections
+from sheafline.session import scratch_path
 from sheafline.sources.filings import (
-    filings_view, first_filings, in_years, of_company, union_years, with_company,
+    filings_view, first_filings, in_years, of_company, read_filings, union_years, with_company,
 )
 
 FILINGS_SQL = """
@@ -52,6 +53,20 @@ def _filter_company_years(spark, sf_dir):
     return chosen.select("doc_id", "cik", "year", "section_1")
 
 
+@query("partitioned_year_scan", f"""
+SELECT doc_id, cik, "year", section_1 FROM ({FILINGS_SQL})
+WHERE "year" IN ('2018', '2020') AND "section_1A" IS NOT NULL""")
+def _partitioned_year_scan(spark, sf_dir):
+    """Filings stored by year and split and read back by both. Filings with a second
+    section stand for the split that is wanted."""
+    split = F.when(F.col("section_1A").isNotNull(), "train").otherwise("test")
+    path = scratch_path(spark, "filings-by-year")
+    (filings(spark, sf_dir).select("doc_id", "cik", "section_1", "year", split.alias("split"))
+     .write.partitionBy("year", "split").parquet(path))
+    schema = "doc_id long, cik string, section_1 string, year string, split string"
+    return read_filings(spark, path, ["2018", "2020"], "train", schema)
+
+
 @query("union_of_years", f"""
 SELECT doc_id, cik, "year" FROM ({FILINGS_SQL}) WHERE "year" = '2019'
 UNION ALL SELECT doc_id, cik, "year" FROM ({FILINGS_SQL}) WHERE "year" = '2018'

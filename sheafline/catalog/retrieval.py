@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sheafline.catalog.base import query, r6, table
+from sheafline.catalog.chunks import COMPANY_CHUNKS_SQL
+from sheafline.catalog.filings import filings
+from sheafline.functions.vectors import as_array
 from sheafline.operators.answering import DEFAULT_TEMPLATE, render_prompts
 from sheafline.operators.neighbors import nearest, nearest_by_hash
 from sheafline.operators.retrieval import (
     attach_chunks, digest, first_by_content, in_year, retrieve, with_context,
 )
 from sheafline.plans.company_ingest import company_ingest
-from sheafline.catalog.filings import filings
 from sheafline.session import scratch_path, stored
 from sheafline.sources.sinks import (
     read_results_json, read_vector_table, result_records, write_results_json, write_vector_table,
@@ -80,6 +81,14 @@ def _lsh_neighbors(spark, sf_dir):
     return nearest_by_hash(vector_queries(spark, sf_dir), vector_chunks(spark, sf_dir), 20)
 
 
+@query("lsh_neighbors_first", f"""
+SELECT a.chunk_key AS query_id, min(b.chunk_key) AS chunk_key, 0.0::DOUBLE AS distance
+FROM ({CHUNKS_SQL}) a JOIN ({CHUNKS_SQL}) b ON a.e = b.e GROUP BY a.chunk_key""")
+def _lsh_neighbors_first(spark, sf_dir):
+    """Equal vectors share every bucket, so each vector finds itself or its first copy."""
+    return _lsh_neighbors(spark, sf_dir).where("rank = 1").select("query_id", "chunk_key", "distance")
+
+
 @query("topk_postfilter", f"""
 SELECT query_id, chunk_key, "rank", "year" FROM ({ranked_sql(200)}) JOIN ({CHUNKS_SQL}) USING (chunk_key)
 WHERE "year" = '2020'""")
@@ -202,9 +211,16 @@ def _json_results_roundtrip(spark, sf_dir):
         r6(F.aggregate("chunks", F.lit(0.0), lambda a, c: a + c["score"])).alias("scores"))
 
 
-@query("company_ingest")
+@query("company_ingest", f"""
+SELECT doc_id, "year", section_number, chunk_number, chunk_key, text, 256 AS n_dimensions,
+       CASE WHEN trim(text, chr(10) || ' ') = '' THEN 0.0 ELSE 1.0 END::DOUBLE AS norm
+FROM ({COMPANY_CHUNKS_SQL})""")
 def _company_ingest(spark, sf_dir):
     path = scratch_path(spark, "company")
     stored_table, _ = company_ingest(filings(spark, sf_dir, heavy=True), ["2018", "2019", "2020"], "src3", path,
                                      filing_id="doc_id")
-    return stored_table.withColumn("embeddings", vector_to_array("embeddings", "float32"))
+    vector = as_array(stored_table, "embeddings")
+    return stored_table.select(
+        "doc_id", "year", "section_number", "chunk_number", "chunk_key", "text",
+        F.size(vector).alias("n_dimensions"),
+        r6(F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x))).alias("norm"))

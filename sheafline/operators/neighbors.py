@@ -64,6 +64,8 @@ class BestChunks:
         self.q_sq = (self.q * self.q).sum(axis=1)
         self.bound = np.full(len(queries), np.inf)
         self.rows: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.n_waiting = 0
 
     def _exact(self, qi: np.ndarray, x: np.ndarray, xi: np.ndarray) -> np.ndarray:
         """Distance pair by pair, so equal vectors get equal distances."""
@@ -93,7 +95,6 @@ class BestChunks:
         scale = self.q_sq.max(initial=0) + x_sq.max(initial=0)
         slack = 8 * (x.shape[1] + 4) * np.finfo(np.float64).eps * max(scale, 1e-300)
         step = max(1, 4_000_000 // len(x))
-        found = []
         for s in range(0, len(self.q), step):
             q = self.q[s:s + step]
             if self.metric == "cosine":
@@ -105,25 +106,37 @@ class BestChunks:
                 limit = np.minimum(limit, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1])
             qi, xi = np.nonzero(rough <= (limit + 2 * slack)[:, None])
             if len(qi):
-                found.append((qi + s, xi, self._exact(qi + s, x, xi)))
-        if not found:
-            return
-        qi, xi, d = (np.concatenate(p) for p in zip(*found))
-        ki = keys[xi]
-        if self.rows is not None:
-            qi, ki, d = (np.concatenate(p) for p in zip(self.rows, (qi, ki, d)))
+                rows = qi + s, keys[xi], self._exact(qi + s, x, xi)
+                if len(qi) > PAIRS_AT_ONCE:  # many copies at the distance of the k-th
+                    rows, _ = self._ranked(*rows)
+                self.waiting.append(rows)
+                self.n_waiting += len(rows[0])
+        if self.rows is None or self.n_waiting > max(PAIRS_AT_ONCE, len(self.rows[0]) // 2):
+            self._merge()
+
+    def _ranked(self, qi: np.ndarray, ki: np.ndarray, d: np.ndarray):
+        """The k best rows per query, in order, and their places."""
         order = ki if ki.dtype != object else np.unique(ki, return_inverse=True)[1]
         by_rank = np.lexsort((order, d, qi))
         qi, ki, d = qi[by_rank], ki[by_rank], d[by_rank]
         first = np.r_[0, np.flatnonzero(np.diff(qi)) + 1]
-        sizes = np.diff(np.r_[first, len(qi)])
-        place = np.arange(len(qi)) - np.repeat(first, sizes)
+        place = np.arange(len(qi)) - np.repeat(first, np.diff(np.r_[first, len(qi)]))
         keep = place < self.k
+        return (qi[keep], ki[keep], d[keep]), place[keep]
+
+    def _merge(self) -> None:
+        """Rank what is waiting together with the best so far. Done when enough is
+        waiting to be worth a sort of all rows."""
+        if not self.waiting:
+            return
+        kept = [] if self.rows is None else [self.rows]
+        self.rows, place = self._ranked(*(np.concatenate(p) for p in zip(*kept, *self.waiting)))
+        self.waiting, self.n_waiting = [], 0
         last = place == self.k - 1
-        self.bound[qi[last]] = d[last]
-        self.rows = qi[keep], ki[keep], d[keep]
+        self.bound[self.rows[0][last]] = self.rows[2][last]
 
     def table(self, query_ids: pa.Array, schema: pa.Schema) -> pa.Table:
+        self._merge()
         if self.rows is None:
             return schema.empty_table()
         qi, ki, d = self.rows

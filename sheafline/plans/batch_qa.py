@@ -11,6 +11,7 @@ from sheafline.operators.answering import (
 )
 from sheafline.operators.retrieval import retrieve, with_context
 from sheafline.session import stored
+from sheafline.sources.filings import spread
 
 
 def ask(questions: DataFrame, chunks: DataFrame, encoder, year: str | int,
@@ -20,14 +21,15 @@ def ask(questions: DataFrame, chunks: DataFrame, encoder, year: str | int,
 
     ``encoder`` is the fitted encoder of the chunk table; ``generate`` produces one
     text per prompt. The last of several equal questions gives the result, so only
-    that one is searched and answered. Prompts and answers are stored: a lost executor
+    that one is searched and answered. Generation is spread over all cores, since the
+    prompts themselves are one small file. Prompts and answers are stored: a lost executor
     or a second action repeats neither the search nor the generation.
     """
     asked = last_per_query(questions)
     vectors = encoder.transform(asked, "query", "embeddings")
     retrieved = retrieve(vectors, chunks, k, year, **retrieve_options)
     prompted = stored(render_prompts(with_context(retrieved, best), year, template), "prompts")
-    answers = stored(apply_generator(prompted.select("query_id", "prompt"), generate), "answers")
+    answers = stored(apply_generator(spread(prompted.select("query_id", "prompt")), generate), "answers")
     found = answers.select("query_id", "answer", "error").join(
         prompted.drop("prompt", "context"), "query_id")
     return with_answers(found)
