@@ -20,6 +20,8 @@ from sheafline.functions.text import strip_left, strip_right
 # The boundaries in order of preference.
 BLANK_LINE, LINE, SPACE = "\n\n", "\n", " "
 
+SEGMENT = 512
+
 
 def _let(value: Column, body) -> Column:
     """Evaluate ``value`` once for all its uses in ``body``."""
@@ -78,11 +80,13 @@ def text_pieces(text: Column, size: int, overlap: int) -> Column:
 
 
 def _spans(pieces: Column, size: int, overlap: int) -> Column:
-    """Pack pieces; returns ``array<struct<a, b>>``, piece positions [a, b)."""
-    start = F.struct(
-        F.array().cast("array<struct<a:int,b:int>>").alias("done"),
-        F.lit(0).alias("first"), F.lit(0).alias("width"), F.lit(0).alias("i"),
-    )
+    """Pack pieces; returns ``array<struct<a, b>>``, piece positions [a, b).
+
+    Spark copies the state of a fold at every step, so the spans found are not kept in
+    it for long: an inner fold over SEGMENT pieces collects its own few spans, and an
+    outer fold over the segments appends them. Long texts stay close to linear.
+    """
+    none = F.array().cast("array<struct<a:int,b:int>>")
 
     def span(state):
         return F.struct(state["first"].alias("a"), state["i"].alias("b"))
@@ -123,7 +127,15 @@ def _spans(pieces: Column, size: int, overlap: int) -> Column:
     def close(state):
         return F.when(state["i"] == 0, state["done"]).otherwise(F.concat(state["done"], F.array(span(state))))
 
-    return F.aggregate(pieces, start, add, close)
+    def add_segment(state, number):
+        part = F.slice(pieces, number * SEGMENT + 1, F.lit(SEGMENT))
+        packed = F.aggregate(part, state_of(none, state["first"], state["width"], state["i"]), add)
+        return _let(packed, lambda s: state_of(
+            F.concat(state["done"], s["done"]), s["first"], s["width"], s["i"]))
+
+    zero = F.lit(0)
+    last = F.greatest(F.floor((F.array_size(pieces) - 1) / F.lit(SEGMENT)).cast("int"), zero)
+    return F.aggregate(F.sequence(zero, last), state_of(none, zero, zero, zero), add_segment, close)
 
 
 def _check(size: int, overlap: int) -> None:

@@ -125,6 +125,7 @@ def test_recursive_chunks_equal_plain_loops(spark, size, overlap):
     rng = random.Random(size)
     texts = ["", " ", "\n\n", "a", "x" * 200, "x" * size, "x" * (size + 1), "a b " * 30, "\n\n\n\nab\n\n\n" * 5]
     texts += [random_text(rng, rng.randint(1, 80)) for _ in range(150)]
+    texts += [random_text(rng, 4000), "a b " * 1500]  # several segments of the fold
     got = recursive(spark, texts, size, overlap)
     for text, chunks in zip(texts, got):
         assert chunks == pack_by_hand(text, size, overlap), text

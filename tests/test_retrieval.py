@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sheafline.operators import retrieval
+from sheafline.operators import neighbors, retrieval
 from sheafline.operators.neighbors import nearest, nearest_by_hash
 from sheafline.operators.retrieval import (
     attach_chunks, digest, first_by_content, in_year, retrieve, with_context,
@@ -54,6 +54,24 @@ def test_nearest_equals_brute_force(spark, vectors, metric, k):
     assert ranks(nearest(queries, chunks, k, metric=metric, max_broadcast_queries=3, block_rows=60)) == expected
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_kernel_with_ties_in_small_slices(monkeypatch, seed):
+    rng = np.random.default_rng(seed)
+    monkeypatch.setattr(neighbors, "SLICE_ROWS", int(rng.integers(3, 60)))
+    monkeypatch.setattr(neighbors, "PAIRS_AT_ONCE", int(rng.integers(5, 200)))
+    chunks = rng.integers(0, 3, size=(300, 4)) if seed % 2 else rng.normal(size=(300, 4))
+    chunks[50:150] = chunks[3]
+    queries, k = chunks[rng.integers(0, 300, size=7)].astype(float), int(rng.integers(1, 120))
+    keys = rng.permutation(300) if seed % 3 else np.array([f"k{x:03d}" for x in rng.permutation(300)], dtype=object)
+    best = neighbors.BestChunks(queries, k, "l2")
+    best.add(chunks.astype(np.float32), keys)
+    best._merge()
+    exact = ((np.float32(chunks).astype(float)[None] - queries[:, None]) ** 2).sum(2)
+    expected = [(i, keys[j]) for i, d in enumerate(exact)
+                for j in sorted(range(300), key=lambda j: (round(d[j], 12), keys[j]))[:k]]
+    assert list(zip(*best.rows[:2])) == expected
+
+
 def test_nearest_with_query_among_copies_and_text_keys(spark, vectors):
     _, c = vectors
     names = [f"k{i:03d}" for i in range(len(c))]
