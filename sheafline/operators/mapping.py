@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sheafline.functions.text import section_number
 from sheafline.functions.vectors import as_array, components, euclidean
+from sheafline.session import stored
 
 MAX_BROADCAST_CENTERS = 100_000
 
@@ -85,14 +86,19 @@ class MapModels:
 
 
 def map_points(embedded: DataFrame, n_components: int = 2, n_clusters: int = 5, seed: int = 7,
-               vector_col: str = "embeddings") -> tuple[DataFrame, MapModels]:
+               vector_col: str = "embeddings", keep_vectors: bool = False) -> tuple[DataFrame, MapModels]:
     """Scale, project, cluster, measure and flag; one row per point throughout.
 
-    Three fits read ``embedded``, so pass a stored table. Each fit returns numbers of
-    the size of the vector dimension or of k, never rows.
+    Pass a stored table: scaling, PCA and the projection each read the vectors once.
+    The projected points are stored without their long vectors, so that k-means, the
+    threshold and the result read only those; ``keep_vectors`` keeps all columns and
+    pays with two more passes over the vectors. Each fit returns numbers of the size
+    of the vector dimension or of k, never rows.
     """
     scaled, scaler = standardize(embedded, vector_col)
     projected, pca = project(scaled, n_components)
+    if not keep_vectors:
+        projected = stored(projected.drop(vector_col, "scaled_embeddings"), "projected")
     clustered, kmeans = cluster(projected, n_clusters, seed=seed)
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(kmeans.clusterCenters())]
     center_rows = embedded.sparkSession.createDataFrame(centers, "cluster int, center array<double>")

@@ -14,13 +14,14 @@ from sheafline.sources.filings import first_filings, with_company
 
 def document_map(filings: DataFrame, *, max_filings: int | None = None, limit: int = 512,
                  ratio: float = 0.1, encoder=None, n_components: int = 2, n_clusters: int = 5,
-                 seed: int = 7, keep_text: bool = False) -> tuple[DataFrame, MapModels]:
+                 seed: int = 7, keep_text: bool = False, keep_vectors: bool = False) -> tuple[DataFrame, MapModels]:
     """Filings with a company -> sections -> word chunks -> vectors -> map.
 
-    One row per chunk with its section, vectors, cluster, distance and outlier flag.
+    One row per chunk with its section, components, cluster, distance and outlier flag.
     ``max_filings`` keeps the first filings by company and year. The embedded chunks
     are stored once, because three fits and the result read them; without their text,
     unless ``keep_text`` asks for it, so the corpus is not written a second time.
+    ``keep_vectors`` adds the vectors to the result.
     """
     filings = with_company(filings)
     if max_filings is not None:
@@ -29,4 +30,5 @@ def document_map(filings: DataFrame, *, max_filings: int | None = None, limit: i
     embedded = embed_text(chunks, "chunk_text", encoder)
     if not keep_text:
         embedded = embedded.drop("chunk_text")
-    return map_points(stored(embedded, "embedded-chunks"), n_components, n_clusters, seed)
+    return map_points(stored(embedded, "embedded-chunks"), n_components, n_clusters, seed,
+                      keep_vectors=keep_vectors)

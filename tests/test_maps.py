@@ -65,6 +65,9 @@ def test_map_points_has_one_distance_per_row(points):
     d = np.array([np.linalg.norm(r.pca_features.toArray() - centers[r.cluster]) for r in rows])
     assert np.allclose(d, [r.distance_to_center for r in rows])
     assert [int(x) for x in d > d.mean() + 2 * d.std()] == [r.is_outlier for r in rows]
+    full, _ = map_points(points, keep_vectors=True)
+    assert {"embeddings", "scaled_embeddings"} <= set(full.columns) - set(mapped.columns)
+    assert full.count() == 200  # k-means may settle elsewhere: its start depends on the partitions
     table = plot_table(mapped)
     assert table.columns == ["PC1", "PC2", "Cluster", "Is_Outlier", "Section"]
     assert {r.Section for r in table.select("Section").distinct().collect()} == {"0", "1", "2"}

@@ -135,6 +135,12 @@ def test_retrieve_by_shuffle(library, monkeypatch):
     assert shown(retrieve(queries, chunks, 4, 2020)) == [[(2, 2), (4, 4)]]
 
 
+def test_retrieve_by_hash(library):
+    queries, chunks = library
+    found = retrieve(queries, chunks, 4, 2020, find=nearest_by_hash, bucket_length=100.0, tables=8)
+    assert shown(found) == [[(2, 2), (4, 4)]]
+
+
 def test_attach_then_filter_gives_the_same(library):
     queries, chunks = library
     hits = in_year(attach_chunks(nearest(queries, chunks, 4), chunks.select("chunk_key", "year")), 2020)
