@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
-                  memory: str = "16g", app_name: str = "sheafline") -> SparkSession:
+                  memory: str = "16g", app_name: str = "sheafline",
+                  checkpoint_dir: str | None = None) -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -21,26 +22,31 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="sheafline-"))
         .getOrCreate()
     )
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+def ensure_folder(spark: SparkSession) -> None:
+    """Give a local session that names no ``spark.checkpoint.dir`` a temporary one.
 
-    Only a local session that names none gets a temporary folder: on a cluster a
-    machine-local path would be lost with its machine, so that is an error.
+    Only entry points call this; a cluster session has to name a folder that all its
+    executors share.
     """
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        if not context.master.startswith("local"):
+    if (not context.getCheckpointDir() and spark.conf.get("spark.checkpoint.dir", None) is None
+            and context.master.startswith("local[")):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="sheafline-"))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors can reach, as named by ``spark.checkpoint.dir``."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="sheafline-")
-    context.setCheckpointDir(named)
+        context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
 
