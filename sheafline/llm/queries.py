@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sheafline.llm.decontaminate import contamination
 from sheafline.llm.minhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +30,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near copies over shingles of four words."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+_WORDS4 = (r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+@query("op4_benchmark_decontamination", f"""
+WITH items AS (
+  SELECT item_id, coalesce({_WORDS4.format('text')}, []) AS w FROM benchmark),
+windows AS (
+  SELECT item_id, array_to_string(w[i:i + 9], ' ') AS win, least(len(w), 10) AS size
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+        FROM items WHERE len(w) > 0)),
+docs AS (
+  SELECT doc_id, coalesce({_WORDS4.format('text')}, []) AS w FROM documents),
+starts AS (
+  SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+  FROM docs, (SELECT DISTINCT size FROM windows)),
+hits AS (
+  SELECT s.doc_id, s.i, s.size, x.item_id
+  FROM starts s JOIN windows x
+    ON x.size = s.size AND x.win = array_to_string(s.w[s.i:s.i + s.size - 1], ' ')),
+n_hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
+n_items AS (
+  SELECT doc_id, count(*) AS n_items,
+         string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN n_hits USING (doc_id) LEFT JOIN n_items USING (doc_id)
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents inside windows of ten words of benchmark items."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
