@@ -119,8 +119,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
         # Too many windows to send: first find the segments that hold a prefix at all.
         hot = _probes(segments, widths or [SHINGLE]).select(*_KEY, "start", "shingle").join(
             prefix.select("shingle").distinct(), "shingle", "left_semi")
-        segments = segments.join(hot.select(*_KEY, "start").distinct(),
-                                 [F.col(c).eqNullSafe(hot[c]) for c in (*_KEY, "start")],
+        at = [*_KEY, "start"]
+        hot = hot.select(*(F.col(c).alias(f"hot_{c}") for c in at)).distinct()
+        segments = segments.join(hot, [F.col(c).eqNullSafe(F.col(f"hot_{c}")) for c in at],
                                  "left_semi")
     first = F.col("at") - F.col("offset")
     hits = stored(
