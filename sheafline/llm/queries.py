@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sheafline.llm.decontaminate import contamination
 from sheafline.llm.minhash import near_duplicates
+from sheafline.llm.substrings import without_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,3 +68,9 @@ FROM docs LEFT JOIN n_hits USING (doc_id) LEFT JOIN n_items USING (doc_id)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents inside windows of ten words of benchmark items."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_substring_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words inside windows of 35 words that occur elsewhere too."""
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
