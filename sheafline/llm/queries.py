@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sheafline.llm.decontaminate import contamination
+from sheafline.llm.language import fit_languages, identify
 from sheafline.llm.minhash import near_duplicates
+from sheafline.llm.sampling import remainder
 from sheafline.llm.substrings import without_repeats
+from sheafline.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,3 +78,38 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words inside windows of 35 words that occur elsewhere too."""
     return without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@query("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them. A row without
+    doc_id is held out."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang",
+        F.coalesce(remainder("doc_id", 4) == 2, F.lit(True)).alias("held_out"))
+    model = fit_languages(docs.where("not held_out"))
+    return identify(docs, model, ["doc_id", "held_out"])
+
+
+def _labelled(spark: SparkSession, sf_dir: str, label: str, divisor: int, held: int) -> DataFrame:
+    """Texts with their label, of the documents that may teach; the label table is the
+    small side, and repeated rows teach once."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", label).where(
+        remainder("doc_id", divisor) != held)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.join(labels, "doc_id")
+
+
+def _held_out(spark: SparkSession, sf_dir: str, divisor: int, held: int) -> DataFrame:
+    """Every document, and whether it teaches nothing; one without doc_id does not."""
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", "text",
+        F.coalesce(remainder("doc_id", divisor) == held, F.lit(True)).alias("held_out"))
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from two thirds of the labels."""
+    model = fit_toxicity(_labelled(spark, sf_dir, "toxic", 3, 1))
+    return score_toxicity(_held_out(spark, sf_dir, 3, 1), model, ["doc_id", "held_out"]).select(
+        "*", (F.col("score") >= 0.7).cast("int").alias("predicted"))
