@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sheafline.llm.decontaminate import contamination
 from sheafline.llm.language import fit_languages, identify
 from sheafline.llm.minhash import near_duplicates
+from sheafline.llm.quality import fit_quality, score_quality
 from sheafline.llm.sampling import remainder
 from sheafline.llm.substrings import without_repeats
 from sheafline.llm.toxicity import fit_toxicity, score_toxicity
@@ -113,3 +114,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_toxicity(_labelled(spark, sf_dir, "toxic", 3, 1))
     return score_toxicity(_held_out(spark, sf_dir, 3, 1), model, ["doc_id", "held_out"]).select(
         "*", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op3_quality_classifier")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from four fifths of the labels."""
+    model = fit_quality(_labelled(spark, sf_dir, "quality", 5, 0))
+    return score_quality(_held_out(spark, sf_dir, 5, 0), model, ["doc_id", "held_out"]).select(
+        "*", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -26,7 +26,7 @@ DIMENSIONS = 8
 SHORTEST, LONGEST = 2, 5
 WINDOW = 8
 #: Labelled texts that the model is trained on, both labels together.
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 3000
 EPOCHS = 80
 RATE = 0.05
 #: What the n-gram vectors keep of themselves in each epoch.
@@ -56,7 +56,7 @@ def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if size >= SHORTEST:
             here = left >= size
             mixed = (key[here] ^ (key[here] >> np.uint32(16))) * np.uint32(0x85EBCA6B)
-            grams.append((mixed >> np.uint32(16)).astype(np.int64))
+            grams.append((mixed >> np.uint32(16)).astype(np.int32))
             owner.append(word[here])
     grams, owner = np.concatenate(grams), np.concatenate(owner)
     order = np.argsort(owner, kind="stable")
@@ -108,16 +108,23 @@ class ToxicityModel:
 
 def train(texts: list[str], toxic: list[int]) -> ToxicityModel:
     """Fit n-gram vectors and softmax together by Adam; both labels weigh the same."""
-    pairs = [(w, y) for t, y in zip(texts, toxic) if (w := words_of(t))]
-    y = np.array([y for _, y in pairs], float)
+    vocabulary: dict[str, int] = {}
+    tokens, labels = [], []
+    for text, label in zip(texts, toxic):
+        if words := words_of(text):
+            tokens.append(np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in words),
+                                      np.int32, len(words)))
+            labels.append(label)
+    y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
         return ToxicityModel(np.zeros(BUCKETS), 20.0 if len(y) and y[0] else -20.0)
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for ws, _ in pairs for w in ws))}
-    tokens = np.array([vocabulary[w] for ws, _ in pairs for w in ws])
-    count = np.array([len(ws) for ws, _ in pairs])
+    count = np.array([len(t) for t in tokens])
     first = np.cumsum(count) - count
-    grams, owner = word_grams(list(vocabulary))
-    size = np.bincount(owner)
+    tokens = np.concatenate(tokens)
+    names = list(vocabulary)
+    parts = [word_grams(names[i:i + 20_000]) for i in range(0, len(names), 20_000)]
+    grams = np.concatenate([g for g, _ in parts])
+    size = np.concatenate([np.bincount(o) for _, o in parts])
     start = np.cumsum(size) - size
     width = np.minimum(count, WINDOW)
     balance = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())

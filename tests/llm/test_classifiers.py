@@ -3,6 +3,7 @@ import random
 import pytest
 
 from sheafline.llm.language import fit_languages, identify, letter_grams
+from sheafline.llm.quality import fit_quality, score_quality
 from sheafline.llm.toxicity import fit_toxicity, score_toxicity
 
 SYLLABLES = {"aa": "ba be bi bo bu".split(), "bb": "kra kre kri kro kru".split(),
@@ -78,3 +79,28 @@ def test_toxicity_edges(spark, rows):
     got = score_toxicity(docs, model, ["text"]).collect()
     assert len(got) == 6 and all(0 <= r.score <= 1 for r in got)
     assert score_toxicity(docs.limit(0), model, ["text"]).collect() == []
+
+
+def test_quality(spark):
+    rng = random.Random(6)
+
+    def text(good):
+        words = prose(rng, "bb", rng.randint(20, 80)).split()
+        if not good:
+            words = [w + "##" for w in words] if rng.random() < 0.5 else words[:2] * 30
+        return " ".join(words)
+    rows = [(text(i % 3), int(i % 3 > 0)) for i in range(450)] + [(None, 1), ("x", None)]
+    model = fit_quality(spark.createDataFrame(rows, "text string, quality int"))
+    new = [(i, text(i % 3), "s") for i in range(150)]
+    got = score_quality(spark.createDataFrame(new, "doc_id long, text string, score string"),
+                        model, ["doc_id"]).collect()
+    assert sum((r.score >= 0.3) == bool(r.doc_id % 3) for r in got) >= 147
+
+
+@pytest.mark.parametrize("rows", [[], [("only this", 1)], [("a b", 0), ("c", 1), ("", 0)]])
+def test_quality_edges(spark, rows):
+    model = fit_quality(spark.createDataFrame(rows, "text string, quality int"))
+    docs = spark.createDataFrame([(t,) for t in odd_texts()], "text string")
+    got = score_quality(docs, model, ["text"]).collect()
+    assert len(got) == 6 and all(0 <= r.score <= 1 for r in got)
+    assert score_quality(docs.limit(0), model, ["text"]).collect() == []
