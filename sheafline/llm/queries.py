@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sheafline.llm.decontaminate import contamination
 from sheafline.llm.language import fit_languages, identify
+from sheafline.llm.lines import without_repeated_lines
 from sheafline.llm.minhash import near_duplicates
 from sheafline.llm.quality import fit_quality, score_quality
 from sheafline.llm.sampling import remainder
@@ -122,3 +123,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_quality(_labelled(spark, sf_dir, "quality", 5, 0))
     return score_quality(_held_out(spark, sf_dir, 5, 0), model, ["doc_id", "held_out"]).select(
         "*", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op5_line_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier line up to two edits."""
+    return without_repeated_lines(table(spark, sf_dir, "documents")).drop("kept_text")

@@ -51,7 +51,7 @@ def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     key = np.zeros(len(codes), np.uint32)
     for size in range(1, LONGEST + 1):
         after = np.zeros(len(codes), np.uint32)
-        after[:len(codes) - size + 1] = codes[size - 1:]
+        after[:max(0, len(codes) - size + 1)] = codes[size - 1:]
         key = (key ^ (key >> np.uint32(13))) * np.uint32(0x9E3779B1) + after
         if size >= SHORTEST:
             here = left >= size
