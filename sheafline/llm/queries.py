@@ -15,6 +15,8 @@ from sheafline.llm.quality import fit_quality, score_quality
 from sheafline.llm.sampling import remainder
 from sheafline.llm.substrings import without_repeats
 from sheafline.llm.toxicity import fit_toxicity, score_toxicity
+from sheafline.llm.warc import captures, read_archives, write_archives
+from sheafline.session import scratch_path, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -129,3 +131,29 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier line up to two edits."""
     return without_repeated_lines(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@query("op6_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+             sha1(payload) AS payload_digest FROM p),
+k AS (SELECT payload_digest, max(page_id) AS keeper FROM d WHERE payload_bytes >= 1000
+      GROUP BY payload_digest)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+       CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM d LEFT JOIN k ON k.payload_digest = d.payload_digest AND d.payload_bytes >= 1000
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to archives, read back and assembled into captures."""
+    path = scratch_path(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    found = captures(stored(read_archives(spark, path, with_payload=False), "records"))
+    revisit = F.col("record_type") == "revisit"
+    return found.select(
+        F.col("metadata.page_id").alias("page_id"),
+        F.when(revisit, F.col("original.payload_bytes")).otherwise(F.col("payload_bytes"))
+        .alias("payload_bytes"),
+        F.when(revisit, F.col("original.payload_sha1")).otherwise(F.col("payload_sha1"))
+        .alias("payload_digest"),
+        "record_type", F.col("original.page_id").alias("refers_to"))
