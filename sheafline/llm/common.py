@@ -44,9 +44,10 @@ def keyed_groups(batches: Iterable[pa.RecordBatch],
         yield key, run
 
 
-def by_key(df: DataFrame, keys: list[str], fn: Callable, schema: str) -> DataFrame:
+def by_key(df: DataFrame, keys: list[str], fn: Callable, schema: str,
+           order: list[str] | None = None) -> DataFrame:
     """Apply ``fn(key, columns) -> dict of lists`` to every group of rows with equal
-    keys. Unlike applyInPandas, small groups cost no pandas frame each. The caller
+    keys, sorted by ``order``. Unlike applyInPandas, small groups cost no pandas frame each. The caller
     bounds the groups."""
     def run(batches):
         names = None
@@ -61,7 +62,7 @@ def by_key(df: DataFrame, keys: list[str], fn: Callable, schema: str) -> DataFra
                 held = {}
         if held and held[names[0]]:
             yield pa.RecordBatch.from_pydict(held, _arrow_schema(schema))
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys, *(order or [])).mapInArrow(run, schema)
 
 
 def _arrow_schema(ddl: str) -> pa.Schema:

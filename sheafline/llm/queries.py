@@ -11,6 +11,7 @@ from sheafline.llm.decontaminate import contamination
 from sheafline.llm.language import fit_languages, identify
 from sheafline.llm.lines import without_repeated_lines
 from sheafline.llm.minhash import near_duplicates
+from sheafline.llm.neighbour_graph import nearest
 from sheafline.llm.quality import fit_quality, score_quality
 from sheafline.llm.sampling import remainder
 from sheafline.llm.substrings import without_repeats
@@ -157,3 +158,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(revisit, F.col("original.payload_sha1")).otherwise(F.col("payload_sha1"))
         .alias("payload_digest"),
         "record_type", F.col("original.page_id").alias("refers_to"))
+
+
+@query("op10_nearest_neighbours")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty nearest vectors of every vector whose id is divisible by twenty."""
+    return nearest(table(spark, sf_dir, "embeddings"))
