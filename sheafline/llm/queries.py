@@ -11,6 +11,7 @@ from sheafline.llm.decontaminate import contamination
 from sheafline.llm.language import fit_languages, identify
 from sheafline.llm.lines import without_repeated_lines
 from sheafline.llm.minhash import near_duplicates
+from sheafline.llm.mixing import mix
 from sheafline.llm.neighbour_graph import nearest
 from sheafline.llm.quality import fit_quality, score_quality
 from sheafline.llm.sampling import remainder
@@ -164,3 +165,62 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twenty nearest vectors of every vector whose id is divisible by twenty."""
     return nearest(table(spark, sf_dir, "embeddings"))
+
+
+#: Bisects like the operator, one exponent at a time; the weights follow from six decimals.
+_OP2_SQL = """
+WITH RECURSIVE counted AS (
+  SELECT doc_id, coalesce(source, '') AS source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x09-\\x0D\\x20]+')) AS n_tokens
+  FROM documents),
+docs AS (SELECT * FROM counted WHERE n_tokens > 0),
+sources AS (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM docs GROUP BY source),
+facts AS (SELECT list(tokens) AS ts, CAST(sum(tokens) AS BIGINT) AS total, count(*) AS n
+          FROM sources),
+steps AS (
+  SELECT 0 AS step, CAST(0 AS DOUBLE) AS elow, CAST(1 AS DOUBLE) AS ehigh,
+         CAST(0 AS DOUBLE) AS llow, CAST(1 AS DOUBLE) AS lhigh
+  UNION ALL
+  SELECT step + 1,
+    CASE WHEN h < 0.92 * ln(n) THEN elow ELSE (elow + ehigh) / 2 END,
+    CASE WHEN h < 0.92 * ln(n) THEN (elow + ehigh) / 2 ELSE ehigh END,
+    CASE WHEN r <= 4 THEN llow ELSE (llow + lhigh) / 2 END,
+    CASE WHEN r <= 4 THEN (llow + lhigh) / 2 ELSE lhigh END
+  FROM (
+    SELECT steps.*, n,
+      -list_sum(list_transform(pe, lambda p: p / list_sum(pe) * ln(p / list_sum(pe)))) AS h,
+      list_max(list_transform(range(1, n + 1), lambda i: total * pl[i] / list_sum(pl) / ts[i])) AS r
+    FROM (SELECT steps.*, ts, total, n,
+                 list_transform(ts, lambda t: pow(t / total, (elow + ehigh) / 2)) AS pe,
+                 list_transform(ts, lambda t: pow(t / total, (llow + lhigh) / 2)) AS pl
+          FROM steps, facts WHERE step < 45) AS steps)),
+power AS (SELECT round(greatest(ehigh, CASE WHEN lhigh < 1e-9 THEN 0 ELSE lhigh END), 6) AS a
+          FROM steps ORDER BY step DESC LIMIT 1),
+plan AS (
+  SELECT source, tokens, quota, quota // tokens AS passes, quota % tokens AS rest
+  FROM (SELECT source, tokens, CAST(floor(total * pow(tokens / total, a) / every + 1e-6) AS BIGINT)
+                 AS quota
+        FROM sources, facts, power,
+             (SELECT sum(pow(tokens / total, a)) AS every FROM sources, facts, power))),
+drawn AS (
+  SELECT doc_id, docs.source, n_tokens, tokens, quota, passes, rest, pass,
+         CAST('0x' || substr(md5(concat_ws('|', docs.source, CAST(pass AS VARCHAR),
+              coalesce(CAST(doc_id AS VARCHAR), ''))), 1, 13) AS BIGINT) / pow(2, 52) AS u
+  FROM (SELECT docs.*, tokens, quota, passes, rest, unnest(range(0, passes + 1)) AS pass
+        FROM docs JOIN plan USING (source)) AS docs),
+fitting AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY source, pass ORDER BY u, doc_id, n_tokens
+                                ROWS UNBOUNDED PRECEDING) AS upto FROM drawn)
+SELECT doc_id, source, CAST(pass AS INTEGER) AS pass,
+       round(least((pass + u) * tokens / quota, 1.0), 9) AS slot,
+       CAST(least(floor(least((pass + u) * tokens / quota, 1.0) * 64), 63) AS INTEGER) AS block,
+       CAST(n_tokens AS BIGINT) AS n_tokens
+FROM fitting WHERE pass < passes OR upto <= rest
+"""
+
+
+@query("op2_source_mixing", _OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many tokens as there are, drawn from flattened sources."""
+    docs = table(spark, sf_dir, "documents").withColumn("source", F.coalesce("source", F.lit("")))
+    return mix(docs, ["doc_id", "source"])
