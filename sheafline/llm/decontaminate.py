@@ -83,18 +83,21 @@ def _windows(benchmark: DataFrame, window: int) -> DataFrame:
         "item_id", F.explode(cut).alias("window"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
+                  keep: list[str] | None = None) -> DataFrame:
     """One row per row of ``docs (doc_id, text, …)``: doc_id, n_words, n_hit (words inside
     an occurrence of a window of an item of ``benchmark (item_id, text, …)``), n_items
     (items with such a window), items_sha256 (their ids, sorted as strings and joined by
-    commas) and contaminated.
+    commas), contaminated and the columns ``keep`` of docs.
 
     A text that is null, empty or has no word has no words and no hit; an item like that
     has no window. An item without id makes words hit but is not among the items. Rows
     that repeat a doc_id are judged each by its own text; repeated items count once. Other
     columns are ignored.
     """
-    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    keep = keep or []
+    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text",
+                       F.struct(*keep).alias("row") if keep else F.lit(None).alias("row"))
     cut = stored(_windows(benchmark, window).distinct(), "windows")
     whole = cut.select("window").distinct()
     widths = [r[0] for r in cut.select(
@@ -145,11 +148,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     found = words_hit.join(items.withColumnsRenamed({c: f"of_{c}" for c in _KEY}), [
         F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in _KEY], "left").select(
         *(F.col(c).alias(f"hit_{c}") for c in _KEY), "n_hit", "items")
-    counted = docs.select(*_KEY, F.size(benchmark_words("text")).cast("long").alias("n_words"))
+    counted = docs.select(*_KEY, "row", F.size(benchmark_words("text")).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
     return counted.join(found, [F.col(c).eqNullSafe(F.col(f"hit_{c}")) for c in _KEY],
                         "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.coalesce("items", none)), 256).alias("items_sha256"),
-        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        *(F.col("row")[c].alias(c) for c in keep))
