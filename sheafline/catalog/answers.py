@@ -7,15 +7,18 @@ import json
 from pyspark.sql import functions as F
 
 from sheafline.catalog.base import documents_table, query, table
+from sheafline.catalog.chunks import FILING_CHUNKS_SQL
+from sheafline.catalog.filings import filings
 from sheafline.catalog.retrieval import template_sql
 from sheafline.functions.answers import extract_answer
 from sheafline.operators.answering import apply_generator, last_per_query, render_prompts
 from sheafline.operators.recursive import recursive_chunks
 from sheafline.operators.retrieval import build_vector_table
 from sheafline.plans.batch_qa import ask
-from sheafline.plans.company_ingest import with_chunk_key
-from sheafline.session import stored
+from sheafline.plans.company_ingest import company_ingest, with_chunk_key
+from sheafline.session import scratch_path, stored
 from sheafline.sources.filings import sections_view
+from sheafline.sources.sinks import read_results_json, result_records, write_results_json
 
 
 def measure_prompts(prompts, **options):
@@ -83,6 +86,38 @@ def _batch_qa(spark, sf_dir):
     return _batch(spark, sf_dir).select("query", "position", "answer", "error", F.size("chunks").alias("n_chunks"))
 
 
+def answer_by_question(prompts, **options):
+    """A stand-in that looks at the question alone; it fails on questions whose length is
+    a multiple of five, and returns no text for some others."""
+    lengths = [len(p.rpartition("Question: ")[2].rstrip("\n")) for p in prompts]
+    if any(n % 5 == 0 for n in lengths):
+        raise ValueError("cannot answer")
+    return [n if n % 7 == 0 else json.dumps({"answer": f"{n} characters"}) for n in lengths]
+
+
+@query("company_questions_json", f"""
+WITH texts AS (SELECT DISTINCT text FROM ({FILING_CHUNKS_SQL}) WHERE "year" = '2020'),
+asked AS (SELECT DISTINCT text AS query, length(text) AS n FROM benchmark)
+SELECT query, CASE WHEN n % 5 = 0 OR n % 7 = 0 THEN NULL ELSE n || ' characters' END AS answer,
+       CASE WHEN n % 5 = 0 THEN 'Error: cannot answer' WHEN n % 7 = 0 THEN 'Error: a int is no text' END AS error,
+       (SELECT CAST(count(*) AS INTEGER) FROM texts) AS n_chunks,
+       (SELECT md5(string_agg(md5(text), '|' ORDER BY md5(text))) FROM texts) AS contents_md5
+FROM asked""")
+def _company_questions_json(spark, sf_dir):
+    """From a company's filings to saved answers, errors included: all its chunks are
+    asked for, so every question has the distinct ones of the year."""
+    table_path, json_path = scratch_path(spark, "company"), scratch_path(spark, "answers-json")
+    chunks, encoder = company_ingest(filings(spark, sf_dir, heavy=True), ["2018", "2019", "2020"], "src3", table_path)
+    questions = table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    answered = ask(questions, chunks, encoder, 2020, answer_by_question, k=max(1, chunks.count()))
+    write_results_json(result_records(answered), json_path)
+    contents = F.array_sort(F.transform("chunks", lambda c: F.md5(c["content"])))
+    return read_results_json(spark, json_path).select(
+        "query", "answer", "error", F.size("chunks").alias("n_chunks"),
+        F.md5(F.array_join(contents, "|")).alias("contents_md5"))
+
+
 @query("batch_qa_questions", """
 SELECT text AS query, min(item_id) AS position, max(item_id) AS query_id, true AS answered,
        true AS chunks_in_order FROM benchmark GROUP BY text""")

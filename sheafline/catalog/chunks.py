@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sheafline.catalog.base import documents_table, query, r6
-from sheafline.catalog.filings import SECTIONS_SQL, filings
+from sheafline.catalog.filings import FILINGS_SQL, SECTIONS_SQL, filings
 from sheafline.functions.text import section_name, token_count
 from sheafline.operators.chunk_plan import attach_plan, chunk_plan, section_token_stats
 from sheafline.operators.metrics import count_by, observed
-from sheafline.operators.recursive import chunk_records, recursive_chunks, with_recursive_chunks
+from sheafline.operators.recursive import (
+    chunk_records, recursive_chunks, split_sections, with_recursive_chunks,
+)
 from sheafline.operators.sections import unpivot_sections
 from sheafline.operators.word_windows import word_chunks
 from sheafline.plans.company_ingest import company_chunks, plan_and_split
@@ -219,7 +221,7 @@ def _planned_chunks(spark, sf_dir):
 
 
 COMPANY_SQL = f"""
-SELECT doc_id, "year", replace(section, 'section_', '') AS section_number, section_text AS txt,
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, "year", replace(section, 'section_', '') AS section_number, section_text AS txt,
        doc_id || '/' || section AS rid
 FROM ({SECTIONS_SQL}) WHERE cik = 'src3' AND "year" IN ('2018', '2019', '2020')"""
 
@@ -235,7 +237,9 @@ chunked AS (
   FROM ({COMPANY_SQL}) s JOIN ({recursive_sql(f'SELECT rid, txt FROM ({COMPANY_SQL})', 512, 51)}) c
     ON c.rid = s.rid
   WHERE section_number IN (SELECT section_number FROM flagged))
-SELECT *, concat_ws('/', doc_id, "year", section_number, chunk_number) AS chunk_key FROM chunked"""
+SELECT CAST(doc_id AS BIGINT) AS doc_id, "year", section_number, chunk_number, text,
+       CAST(to_json([doc_id, "year", section_number, CAST(chunk_number AS VARCHAR)]) AS VARCHAR) AS chunk_key
+FROM chunked"""
 
 
 @query("company_chunks", COMPANY_CHUNKS_SQL)
@@ -243,6 +247,46 @@ def _company_chunks(spark, sf_dir):
     return company_chunks(filings(spark, sf_dir, heavy=True), ["2018", "2019", "2020"], "src3", filing_id="doc_id")
 
 
+# Of filings that are equal in company, year and all sections one is left, named by them.
+FILING_SQL = f"""
+SELECT filing, any_value(cik) AS cik, any_value("year") AS "year", any_value(section_1) AS section_1,
+       any_value(section_1A) AS section_1A, any_value(section_7) AS section_7
+FROM (SELECT *, md5(concat_ws('|', {', '.join(f"coalesce(md5({c}), '-')" for c in (
+    'cik', '"year"', 'section_1', 'section_1A', 'section_7'))})) AS filing
+      FROM ({FILINGS_SQL}) WHERE cik = 'src3' AND "year" IN ('2018', '2019', '2020')) GROUP BY filing"""
+
+FILING_CHUNKS_SQL = COMPANY_CHUNKS_SQL.replace(COMPANY_SQL, f"""
+SELECT filing AS doc_id, "year", replace(section, 'section_', '') AS section_number,
+       section_text AS txt, filing || '/' || section AS rid
+FROM (SELECT filing, "year", unnest(['section_1', 'section_1A', 'section_7']) AS section,
+             unnest([section_1, section_1A, section_7]) AS section_text FROM ({FILING_SQL}))
+WHERE section_text IS NOT NULL""").replace("CAST(doc_id AS BIGINT) AS doc_id", "doc_id AS filing")
+
+
+@query("company_chunks_by_content", FILING_CHUNKS_SQL)
+def _company_chunks_by_content(spark, sf_dir):
+    """Filings of a company and year told apart by what they say."""
+    return company_chunks(filings(spark, sf_dir, heavy=True), ["2018", "2019", "2020"], "src3")
+
+
+@query("chunks_of_two_limits", f"""
+SELECT doc_id, section_number, chunk_number, text FROM (
+  SELECT rid AS doc_id, 'short' AS section_number, chunk_number, t AS text
+  FROM ({recursive_sql("SELECT doc_id AS rid, text AS txt FROM documents WHERE doc_id % 2 = 0", 300, 30)})
+  UNION ALL
+  SELECT rid, 'long', chunk_number, t
+  FROM ({recursive_sql("SELECT doc_id AS rid, text AS txt FROM documents WHERE doc_id % 2 = 1", 900, 45)}))""")
+def _chunks_of_two_limits(spark, sf_dir):
+    """A plan with a size and an overlap for each group of sections."""
+    name = F.when(F.col("doc_id") % 2 == 0, "short").otherwise("long")
+    sections = documents_table(spark, sf_dir).select(
+        "doc_id", name.alias("section_number"), F.col("text").alias("section_text"))
+    plan = spark.createDataFrame(
+        [("short", True, 300, 30), ("long", True, 900, 45)],
+        "section_number string, requires_chunking boolean, suggested_chunk_size int, overlap int")
+    return split_sections(attach_plan(sections, plan, max_sections=2), ids=("doc_id", "section_number"))
+
+
 @query("chunk_metadata_struct", f"""
 SELECT to_json({{'year': "year", 'section_number': section_number, 'chunk_number': chunk_number}}) ::VARCHAR AS metadata,
        "year", section_number, chunk_number, md5(t) AS text_md5

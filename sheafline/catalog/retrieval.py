@@ -19,12 +19,18 @@ from sheafline.sources.sinks import (
     read_results_json, read_vector_table, result_records, write_results_json, write_vector_table,
 )
 
-# The vectors of the given table belong to the documents of the same number; each is
-# one chunk of the vector table and, with its document's text, one query.
+# Every vector of the given table is one chunk of the vector table, with the text of the
+# document of the same number where there is one. Those with the number of a benchmark item
+# are the questions.
 CHUNKS_SQL = """
-SELECT vec_id AS chunk_key, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e, text,
-       CAST(2018 + doc_id % 3 AS VARCHAR) AS "year", source AS section_number, 1 AS chunk_number
-FROM embeddings JOIN documents ON vec_id = doc_id"""
+SELECT vec_id AS chunk_key, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e,
+       coalesce(text, '') AS text, CAST(2018 + vec_id % 3 AS VARCHAR) AS "year",
+       coalesce(source, 'none') AS section_number, 1 AS chunk_number
+FROM embeddings LEFT JOIN documents ON vec_id = doc_id"""
+
+QUERIES_SQL = """
+SELECT vec_id AS chunk_key, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e, text
+FROM embeddings JOIN benchmark ON vec_id = item_id"""
 
 
 def ranked_sql(k: int, distance: str = "list_distance(q.e, c.e)") -> str:
@@ -32,28 +38,35 @@ def ranked_sql(k: int, distance: str = "list_distance(q.e, c.e)") -> str:
 SELECT query_id, chunk_key, d, CAST("rank" AS INTEGER) AS "rank" FROM (
   SELECT query_id, chunk_key, d, row_number() OVER (PARTITION BY query_id ORDER BY d, chunk_key) AS "rank"
   FROM (SELECT q.chunk_key AS query_id, c.chunk_key, {distance} AS d
-        FROM ({CHUNKS_SQL}) q, ({CHUNKS_SQL}) c))
+        FROM ({QUERIES_SQL}) q, ({CHUNKS_SQL}) c))
 WHERE "rank" <= {k}"""
 
 
-def vector_chunks(spark, sf_dir):
-    vectors = table(spark, sf_dir, "embeddings").select(
+def plain_vectors(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("chunk_key"), F.col("embedding").alias("embeddings"))
-    documents = table(spark, sf_dir, "documents")
-    return vectors.join(documents, vectors.chunk_key == documents.doc_id).select(
-        "chunk_key", "embeddings", "text", (F.lit(2018) + F.col("doc_id") % 3).cast("string").alias("year"),
-        F.col("source").alias("section_number"), F.lit(1).alias("chunk_number"))
+
+
+def vector_chunks(spark, sf_dir):
+    vectors = plain_vectors(spark, sf_dir)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return vectors.join(documents, vectors.chunk_key == documents.doc_id, "left").select(
+        "chunk_key", "embeddings", F.coalesce("text", F.lit("")).alias("text"),
+        (F.lit(2018) + F.col("chunk_key") % 3).cast("string").alias("year"),
+        F.coalesce("source", F.lit("none")).alias("section_number"), F.lit(1).alias("chunk_number"))
 
 
 def vector_queries(spark, sf_dir):
-    return vector_chunks(spark, sf_dir).select(
-        F.col("chunk_key").alias("query_id"), "embeddings", F.col("text").alias("query"))
+    items = table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    return items.join(plain_vectors(spark, sf_dir), F.col("query_id") == F.col("chunk_key")).select(
+        "query_id", "embeddings", "query")
 
 
 @query("topk_neighbors", f"""
 SELECT query_id, chunk_key, round(d, 6) + 0.0 AS distance, "rank" FROM ({ranked_sql(20)})""")
 def _topk_neighbors(spark, sf_dir):
-    found = nearest(vector_queries(spark, sf_dir), vector_chunks(spark, sf_dir), 20)
+    found = nearest(vector_queries(spark, sf_dir), plain_vectors(spark, sf_dir), 20)
     return found.withColumn("distance", r6("distance"))
 
 
@@ -61,8 +74,8 @@ def _topk_neighbors(spark, sf_dir):
 SELECT query_id, chunk_key, round(d, 6) + 0.0 AS distance, "rank" FROM ({ranked_sql(20)})""")
 def _topk_neighbors_by_block(spark, sf_dir):
     """The form for query tables that are not broadcast."""
-    found = nearest(vector_queries(spark, sf_dir), vector_chunks(spark, sf_dir), 20,
-                    max_broadcast_queries=0, block_rows=256)
+    found = nearest(vector_queries(spark, sf_dir), plain_vectors(spark, sf_dir), 20,
+                    query_rows=32)
     return found.withColumn("distance", r6("distance"))
 
 
@@ -70,20 +83,20 @@ COSINE = "list_cosine_distance(q.e, c.e)"
 
 
 @query("topk_cosine", f"""
-SELECT query_id, round(d, 6) + 0.0 AS distance, "rank" FROM ({ranked_sql(20, COSINE)})""")
+SELECT query_id, chunk_key, round(d, 6) + 0.0 AS distance, "rank" FROM ({ranked_sql(20, COSINE)})""")
 def _topk_cosine(spark, sf_dir):
-    found = nearest(vector_queries(spark, sf_dir), vector_chunks(spark, sf_dir), 20, metric="cosine")
-    return found.select("query_id", r6("distance").alias("distance"), "rank")
+    found = nearest(vector_queries(spark, sf_dir), plain_vectors(spark, sf_dir), 20, metric="cosine")
+    return found.withColumn("distance", r6("distance"))
 
 
 @query("lsh_neighbors")
 def _lsh_neighbors(spark, sf_dir):
-    return nearest_by_hash(vector_queries(spark, sf_dir), vector_chunks(spark, sf_dir), 20)
+    return nearest_by_hash(vector_queries(spark, sf_dir), plain_vectors(spark, sf_dir), 20)
 
 
 @query("lsh_neighbors_first", f"""
 SELECT a.chunk_key AS query_id, min(b.chunk_key) AS chunk_key, 0.0::DOUBLE AS distance
-FROM ({CHUNKS_SQL}) a JOIN ({CHUNKS_SQL}) b ON a.e = b.e GROUP BY a.chunk_key""")
+FROM ({QUERIES_SQL}) a JOIN ({CHUNKS_SQL}) b ON a.e = b.e GROUP BY a.chunk_key""")
 def _lsh_neighbors_first(spark, sf_dir):
     """Equal vectors share every bucket, so each vector finds itself or its first copy."""
     return _lsh_neighbors(spark, sf_dir).where("rank = 1").select("query_id", "chunk_key", "distance")
@@ -124,7 +137,7 @@ def retrieved_chunks(spark, sf_dir):
 @query("chunks_per_query", f"""
 SELECT q.chunk_key AS query_id, CAST(count(h.chunk_key) AS INTEGER) AS n_chunks,
        coalesce(string_agg(CAST(h.chunk_key AS VARCHAR), ',' ORDER BY h."rank"), '') AS chunk_keys
-FROM ({CHUNKS_SQL}) q LEFT JOIN ({HITS_SQL}) h ON h.query_id = q.chunk_key GROUP BY q.chunk_key""")
+FROM ({QUERIES_SQL}) q LEFT JOIN ({HITS_SQL}) h ON h.query_id = q.chunk_key GROUP BY q.chunk_key""")
 def _chunks_per_query(spark, sf_dir):
     keys = F.array_join(F.transform("chunks", lambda c: c["chunk_key"].cast("string")), ",")
     return retrieved_chunks(spark, sf_dir).select(
@@ -137,7 +150,7 @@ SELECT q.chunk_key AS query_id, q.text AS query, coalesce(string_agg(
          'Chunk Metadata: ' || to_json({{'year': h."year", 'section_number': h.section_number,
                                          'chunk_number': h.chunk_number}})
          || ' ' || chr(10) || 'Content: ' || h.text, chr(10) ORDER BY h."rank"), '') AS context
-FROM ({CHUNKS_SQL}) q LEFT JOIN (
+FROM ({QUERIES_SQL}) q LEFT JOIN (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY "rank") AS m FROM ({HITS_SQL}))
   WHERE m <= {best}) h ON h.query_id = q.chunk_key
 GROUP BY q.chunk_key, q.text"""
@@ -195,7 +208,7 @@ SELECT CAST(q.chunk_key AS VARCHAR) AS query, 'answer "' || q.chunk_key || '"' A
        md5(coalesce(string_agg(h.text, '|' ORDER BY h."rank"), '')) AS contents_md5,
        coalesce(string_agg(h."year" || h.section_number || h.chunk_number, '|' ORDER BY h."rank"), '') AS metadata,
        round(coalesce(sum(h.d), 0), 6) + 0.0 AS scores
-FROM ({CHUNKS_SQL}) q LEFT JOIN ({HITS_SQL}) h ON h.query_id = q.chunk_key GROUP BY q.chunk_key""")
+FROM ({QUERIES_SQL}) q LEFT JOIN ({HITS_SQL}) h ON h.query_id = q.chunk_key GROUP BY q.chunk_key""")
 def _json_results_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "results-json")
     results = retrieved_chunks(spark, sf_dir).select(

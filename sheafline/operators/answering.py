@@ -55,7 +55,8 @@ def apply_generator(prompts: DataFrame, generate: Callable[..., Sequence[str]],
     """Add ``answer`` and ``error`` from ``generate(prompts, **options)``.
 
     ``generate`` gets a list of prompts and returns as many texts. A batch that
-    raises is repeated prompt by prompt, so an error marks its own row only. Pass the
+    raises is repeated prompt by prompt, so an error marks its own row only, and so does
+    an answer that is no text. Pass the
     prompt and the columns that identify it; everything passed goes through Python.
     """
     settings = dict(GENERATION_OPTIONS if options is None else options)
@@ -64,15 +65,20 @@ def apply_generator(prompts: DataFrame, generate: Callable[..., Sequence[str]],
 
     def one(prompt: str) -> tuple[str | None, str | None]:
         try:
-            return list(generate([prompt], **settings))[0], None
+            return checked(list(generate([prompt], **settings))[0])
         except Exception as problem:  # recorded with the row
             return None, f"Error: {problem}"
 
+    def checked(answer) -> tuple[str | None, str | None]:
+        if answer is None or isinstance(answer, str):
+            return answer, None
+        return None, f"Error: a {type(answer).__name__} is no text"
+
     def several(texts: list[str]) -> list[tuple[str | None, str | None]]:
         try:
             answers = list(generate(texts, **settings))
             if len(answers) == len(texts):
-                return [(a, None) for a in answers]
+                return [checked(a) for a in answers]
         except Exception:  # found again row by row
             pass
         return [one(t) for t in texts]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -10,12 +11,16 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from sheafline.functions.text import section_number
 from sheafline.functions.vectors import as_array, components, euclidean
 from sheafline.session import stored
 
-MAX_BROADCAST_CENTERS = 100_000
+# Centres that are broadcast at most, in bytes.
+MAX_BROADCAST_BYTES = 64 * 2**20
+# Points of one partition of a fit.
+LAYOUT_ROWS = 100_000
 
 
 def with_vector(df: DataFrame, column: str) -> DataFrame:
@@ -40,10 +45,24 @@ def project(df: DataFrame, k: int = 2, input_col: str = "scaled_embeddings",
     return model.transform(df), model
 
 
+def stable_layout(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The same rows in the same partitions and order, whatever machine or split they came
+    from: dealt by a hash of ``key`` into a number of partitions that follows from the
+    number of rows, and sorted by it. Rows with equal keys should be equal."""
+    parts = df.count() // LAYOUT_ROWS + 1
+    text = [F.col(c).cast("string") for c in key]
+    return df.repartition(parts, F.xxhash64(*text)).sortWithinPartitions(*text)
+
+
 def cluster(df: DataFrame, k: int = 5, features_col: str = "pca_features",
-            prediction_col: str = "cluster", seed: int = 7) -> tuple[DataFrame, KMeansModel]:
-    """k-means with a fixed seed."""
-    model = KMeans(k=k, featuresCol=features_col, predictionCol=prediction_col, seed=seed).fit(df)
+            prediction_col: str = "cluster", seed: int = 7,
+            key: Sequence[str] | None = None) -> tuple[DataFrame, KMeansModel]:
+    """k-means with a fixed seed. Its start is drawn partition by partition, so the points
+    are laid out by ``key`` first: by default all columns that are no vectors."""
+    if key is None:
+        key = [f.name for f in df.schema if not isinstance(f.dataType, (VectorUDT, ArrayType))]
+    model = KMeans(k=k, featuresCol=features_col, predictionCol=prediction_col, seed=seed).fit(
+        stable_layout(df, key) if key else df)
     return model.transform(df), model
 
 
@@ -53,12 +72,13 @@ def distance_to_center(points: DataFrame, centers: DataFrame, vector_col: str =
     """Distance of each point to the centre of its own cluster.
 
     ``centers`` has ``cluster_col`` and an array column ``center``. It is broadcast
-    when its size is known (``max_centers``, e.g. the k of k-means) or counted to be
-    small; beyond that the join shuffles and adaptive execution splits hot clusters.
+    when its bytes, rows (``max_centers`` where known, e.g. the k of k-means) times
+    widest vector, are few; beyond that the join shuffles and adaptive execution splits
+    hot clusters.
     """
-    if max_centers is None:
-        max_centers = centers.limit(MAX_BROADCAST_CENTERS + 1).count()
-    side = F.broadcast(centers) if max_centers <= MAX_BROADCAST_CENTERS else centers
+    rows, width = centers.agg(F.count("*"), F.max(F.size("center"))).first()
+    few = (max_centers or rows) * (8 * (width or 0) + 32) <= MAX_BROADCAST_BYTES
+    side = F.broadcast(centers) if few else centers
     joined = points.join(side, cluster_col)
     return joined.withColumn(out_col, euclidean(as_array(points, vector_col), F.col("center"))).drop("center")
 
@@ -86,20 +106,23 @@ class MapModels:
 
 
 def map_points(embedded: DataFrame, n_components: int = 2, n_clusters: int = 5, seed: int = 7,
-               vector_col: str = "embeddings", keep_vectors: bool = False) -> tuple[DataFrame, MapModels]:
+               vector_col: str = "embeddings", keep_vectors: bool = False,
+               key: Sequence[str] | None = None) -> tuple[DataFrame, MapModels]:
     """Scale, project, cluster, measure and flag; one row per point throughout.
 
     Pass a stored table: scaling, PCA and the projection each read the vectors once.
     The projected points are stored without their long vectors, so that k-means, the
     threshold and the result read only those; ``keep_vectors`` keeps all columns and
     pays with two more passes over the vectors. Each fit returns numbers of the size
-    of the vector dimension or of k, never rows.
+    of the vector dimension or of k, never rows. ``key`` names the columns that tell points
+    apart, by default all that are no vectors; with them the clusters do not depend on
+    how the table is split.
     """
     scaled, scaler = standardize(embedded, vector_col)
     projected, pca = project(scaled, n_components)
     if not keep_vectors:
         projected = stored(projected.drop(vector_col, "scaled_embeddings"), "projected")
-    clustered, kmeans = cluster(projected, n_clusters, seed=seed)
+    clustered, kmeans = cluster(projected, n_clusters, seed=seed, key=key)
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(kmeans.clusterCenters())]
     center_rows = embedded.sparkSession.createDataFrame(centers, "cluster int, center array<double>")
     measured = distance_to_center(clustered, center_rows, max_centers=len(centers))
@@ -121,12 +144,21 @@ def plot_table(points: DataFrame, vector_col: str = "pca_features", cluster_col:
 SCATTER_VIEWS = {"plain": None, "by_cluster": "Cluster", "by_outlier": "Is_Outlier", "by_section": "Section"}
 
 
-def scatter_bins(points: DataFrame, hue: str | None = None, width: float = 0.5,
-                 x: str = "PC1", y: str = "PC2") -> DataFrame:
-    """Count points per square of side ``width`` and hue: a scatter plot of bounded
-    size, whatever the number of points."""
+def scatter_bins(points: DataFrame, hue: str | None = None, width: float | None = None,
+                 x: str = "PC1", y: str = "PC2", bins: int = 200) -> DataFrame:
+    """Count points per square and hue: a scatter plot.
+
+    Each axis has ``bins`` squares between its smallest and its largest value, so the
+    plot has at most ``bins`` times ``bins`` of them for each hue, whatever the number and
+    the range of the points. With ``width`` squares of that side are counted instead, as
+    many as the range needs.
+    """
     def square(c: str):
-        return F.floor(F.col(c) / F.lit(width)).cast("int")
+        if width is not None:
+            return F.floor(F.col(c) / F.lit(width)).cast("long")
+        low, high = points.select(F.min(c)).scalar(), points.select(F.max(c)).scalar()
+        share = (F.col(c) - low) / F.nullif(high - low, F.lit(0.0))
+        return F.least(F.floor(F.coalesce(share, F.col(c) * 0) * bins), F.lit(bins - 1)).cast("long")
 
     hue_col = F.lit("all") if hue is None else F.col(hue).cast("string")
     return points.groupBy(

@@ -8,30 +8,28 @@ Only those survivors are shuffled. Ties are broken by the chunk key.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
 
 from sheafline.functions.vectors import as_array
 from sheafline.operators.mapping import with_vector
 from sheafline.session import stored
 
-# Queries up to this number travel to every task; more are compared block by block.
-MAX_BROADCAST_QUERIES = 4096
-# Memory of each side of one block comparison.
-BLOCK_BYTES = 256 * 2**20
-# Tasks of a pass over the chunks; each one hands k rows per query to the merge, so
-# small splits of a large table share a task.
-MAX_SCAN_TASKS = 4096
+# Bytes of one block of queries, which all tasks of a pass hold, and of each side of a
+# comparison within a bucket.
+BLOCK_BYTES = 64 * 2**20
+# Bucket parts whose list is broadcast at most; a longer list is joined by shuffle.
+MAX_BROADCAST_PARTS = 200_000
 SLICE_ROWS = 10_000
-# Salted blocks listed in a broadcast; the block size grows with the data to keep it.
-MAX_HOT_BLOCKS = 200_000
 MERGE_GROUPS = 64
 PAIRS_AT_ONCE = 65_536
 
@@ -162,8 +160,11 @@ def _arrow_schema(schema: StructType) -> pa.Schema:
 
 
 def _vectors_only(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """Key and vector as ``array<float>``; nothing else is read for the comparison."""
-    slim = df.select(key, as_array(df, vector, "float32").alias("__vector"))
+    """Key and vector; nothing else is read for the comparison. Floats stay floats and
+    doubles doubles."""
+    kind = df.schema[vector].dataType
+    single = isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType)
+    slim = df.select(key, as_array(df, vector, "float32" if single else "float64").alias("__vector"))
     return slim.where(F.col("__vector").isNotNull())
 
 
@@ -182,15 +183,15 @@ def _compare_with_all(chunks: DataFrame, query_rows: pa.Table, schema: StructTyp
             best.add(as_matrix(b.column("__vector")), b.column(chunk_key).to_numpy(zero_copy_only=False))
         yield from best.table(ids, arrow).to_batches()
 
-    tasks = max(MAX_SCAN_TASKS, 4 * chunks.sparkSession.sparkContext.defaultParallelism)
-    return chunks.coalesce(tasks).mapInArrow(scan, schema)
+    return chunks.mapInArrow(scan, schema)
 
 
 def _salted(df: DataFrame, block: list[str], key: str, mine: str, other: str,
             my_parts: DataFrame, other_parts: DataFrame) -> DataFrame:
     """Put a row into its own part of its block, and copy it to each part that the
     other side's block is cut into."""
-    rows = df.join(F.broadcast(my_parts), block, "left").join(F.broadcast(other_parts), block, "left")
+    few = lambda p: F.broadcast(p) if p.count() <= MAX_BROADCAST_PARTS else p
+    rows = df.join(few(my_parts), block, "left").join(few(other_parts), block, "left")
     return rows.withColumn(
         mine, F.pmod(F.xxhash64(key), F.coalesce(f"n_{mine}", F.lit(1))).cast("int")
     ).withColumn(
@@ -201,13 +202,7 @@ def _salted(df: DataFrame, block: list[str], key: str, mine: str, other: str,
 def _hot_parts(df: DataFrame, block: list[str], name: str, rows: int) -> DataFrame:
     """Blocks over ``rows`` rows and the number of parts to cut each into."""
     parts = F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int")
-    return df.groupBy(*block).agg(parts.alias(f"n_{name}")).where(F.col(f"n_{name}") > 1)
-
-
-def _block_rows(df: DataFrame, row_bytes: int) -> int:
-    """Rows per block part: what fits the memory, or more where the data is so large
-    that MAX_HOT_BLOCKS blocks could otherwise exceed it."""
-    return max(BLOCK_BYTES // row_bytes, df.count() // MAX_HOT_BLOCKS + 1)
+    return stored(df.groupBy(*block).agg(parts.alias(f"n_{name}")).where(F.col(f"n_{name}") > 1), name)
 
 
 def _compare_by_block(chunks: DataFrame, queries: DataFrame, block: list[str], schema: StructType,
@@ -222,9 +217,9 @@ def _compare_by_block(chunks: DataFrame, queries: DataFrame, block: list[str], s
     c_rows = q_rows = block_rows
     if block_rows is None:
         width = (queries.select(F.size("__vector")).first() or [1])[0]
-        # A chunk is its floats; a query its doubles and k results of 24 bytes.
-        c_rows = _block_rows(chunks, 4 * width)
-        q_rows = _block_rows(queries, 8 * width + 24 * k)
+        # A chunk is its numbers; a query those and k results of 24 bytes.
+        c_rows = max(1, BLOCK_BYTES // (8 * max(1, width)))
+        q_rows = max(1, BLOCK_BYTES // (8 * width + 24 * k))
     c_parts = _hot_parts(chunks, block, "c_part", c_rows)
     q_parts = _hot_parts(queries, block, "q_part", q_rows)
     left = _salted(chunks, block, chunk_key, "c_part", "q_part", c_parts, q_parts)
@@ -260,52 +255,69 @@ def keep_best(found: DataFrame, k: int, query_id: str, chunk_key: str) -> DataFr
 def nearest(queries: DataFrame, chunks: DataFrame, k: int = 200, *, query_id: str = "query_id",
             query_vector: str = "embeddings", chunk_key: str = "chunk_key",
             chunk_vector: str = "embeddings", metric: str = "l2",
-            max_broadcast_queries: int = MAX_BROADCAST_QUERIES,
-            block_rows: int | None = None) -> DataFrame:
+            query_rows: int | None = None) -> DataFrame:
     """The ``k`` nearest chunks of every query, exactly: query, chunk, distance, rank.
 
-    Queries are counted first. Up to ``max_broadcast_queries`` they go to every task,
-    and the chunk vectors are read once where they are, without a shuffle. A larger
-    query table is cut into parts like the chunks, and part meets part.
+    The queries are stored and cut into blocks of bounded bytes (or of ``query_rows``).
+    Each block goes to every task of one pass over the chunk vectors, which stay where
+    they lie and are never shuffled; only the k best of each task are. Several blocks are
+    several passes, each stored before the next block is read.
     """
     if k < 1 or metric not in ("l2", "cosine"):
         raise ValueError("need k >= 1 and metric l2 or cosine")
     schema = _result_schema(queries, chunks, query_id, chunk_key)
     q = _vectors_only(queries, query_id, query_vector)
     c = _vectors_only(chunks, chunk_key, chunk_vector)
-    some = q.limit(max_broadcast_queries + 1).toArrow()
-    if some.num_rows <= max_broadcast_queries:
-        found = _compare_with_all(c, some, schema, k, metric)
-    else:
-        one = F.lit(0).alias("__block")
-        found = _compare_by_block(c.select("*", one), q.select("*", one), ["__block"], schema, k,
-                                  metric, block_rows)
-    return keep_best(found, k, query_id, chunk_key)
+    q = stored(q, "queries")
+    n, width = q.agg(F.count("*"), F.max(F.size("__vector"))).first()
+    most = query_rows or max(1, BLOCK_BYTES // (8 * (width or 1) + 24 * k))
+    blocks = -(-n // most) or 1
+    if blocks == 1:
+        found = _compare_with_all(c, q.toArrow(), schema, k, metric)
+        return keep_best(found, k, query_id, chunk_key)
+    parts = []
+    for block in range(blocks):
+        mine = q.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == block).toArrow()
+        parts.append(stored(keep_best(_compare_with_all(c, mine, schema, k, metric), k,
+                                      query_id, chunk_key), "nearest"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def nearest_by_hash(queries: DataFrame, chunks: DataFrame, k: int = 200, *, query_id: str = "query_id",
                     query_vector: str = "embeddings", chunk_key: str = "chunk_key",
-                    chunk_vector: str = "embeddings", bucket_length: float = 1.0, tables: int = 4,
-                    seed: int = 7, block_rows: int | None = None) -> DataFrame:
+                    chunk_vector: str = "embeddings", bucket_length: float | None = None,
+                    tables: int = 8, projections: int = 3, seed: int = 7,
+                    block_rows: int | None = None) -> DataFrame:
     """Approximate mode for query tables too large to compare with every chunk.
 
-    Only chunks that share a random-projection bucket with the query, in at least one
-    hash table, are compared; within those the distances and the ranking are exact.
-    Larger ``bucket_length`` and more ``tables`` find more.
+    Only chunks that share a bucket with the query, in at least one hash table, are
+    compared; within those the distances and the ranking are exact. A bucket is a cell of
+    ``projections`` random projections together. ``bucket_length`` is by default three
+    times the deviation of a projection, estimated from all chunks, so that it follows
+    the scale of the vectors. Larger buckets and more ``tables`` find more; more
+    ``projections`` compare less. Vectors without cluster structure in many dimensions
+    have no cells that help: use :func:`nearest` there.
     """
     if k < 1:
         raise ValueError("need k >= 1")
     schema = _result_schema(queries, chunks, query_id, chunk_key)
     q = with_vector(_vectors_only(queries, query_id, query_vector), "__vector")
     c = with_vector(_vectors_only(chunks, chunk_key, chunk_vector), "__vector")
+    if bucket_length is None:
+        spread = c.select(Summarizer.variance(F.col("__vector")).alias("v")).first()["v"]
+        mean = float(np.nanmean(spread.toArray())) if spread is not None and len(spread) else 0.0
+        bucket_length = 3.0 * max(mean, 1e-12) ** 0.5
     lsh = BucketedRandomProjectionLSH(inputCol="__vector", outputCol="__hashes", seed=seed,
-                                      bucketLength=bucket_length, numHashTables=tables).fit(c)
+                                      bucketLength=bucket_length, numHashTables=tables * projections).fit(c)
 
     def hashed(df: DataFrame, key: str) -> DataFrame:
+        joined = F.transform(F.sequence(F.lit(0), F.lit(tables - 1)), lambda t: F.array_join(
+            F.slice("__cells", t * projections + 1, F.lit(projections)).cast("array<string>"), ","))
         return lsh.transform(df).select(
-            key, vector_to_array("__vector", "float32").alias("__vector"),
-            F.posexplode("__hashes").alias("__table", "__hash"),
-        ).withColumn("__bucket", F.get(vector_to_array("__hash"), F.lit(0)).cast("long")).drop("__hash")
+            key, vector_to_array("__vector").alias("__vector"),
+            F.array(*(F.get(vector_to_array(F.get("__hashes", F.lit(i))), F.lit(0)).cast("long")
+                      for i in range(tables * projections))).alias("__cells"),
+        ).select(key, "__vector", F.posexplode(joined).alias("__table", "__bucket"))
 
     # Stored, because the bucket counts and the comparison both read them.
     found = _compare_by_block(stored(hashed(c, chunk_key), "hashed-chunks"),

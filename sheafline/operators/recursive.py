@@ -32,18 +32,22 @@ def _piece(text: Column, length: Column, fresh: Column) -> Column:
     return F.struct(text.alias("t"), length.alias("n"), fresh.alias("fresh"))
 
 
-def _slices(word: Column, size: int, overlap: int) -> Column:
+def _number(value: Column | int) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
+def _slices(word: Column, size: Column, overlap: Column) -> Column:
     """Windows over a word without any boundary; each is a run of its own."""
     step = size - overlap
-    count = F.ceil((F.char_length(word) - overlap) / F.lit(step)).cast("int")
+    count = F.ceil((F.char_length(word) - overlap) / step).cast("int")
     return F.transform(
         F.sequence(F.lit(0), count - 1),
-        lambda i: _let(F.substring(word, i * step + 1, F.lit(size)),
+        lambda i: _let(F.substring(word, i * step + 1, size),
                        lambda t: _piece(t, F.char_length(t), F.lit(True))),
     )
 
 
-def _break(text: Column, sep: str, size: int, deeper) -> Column:
+def _break(text: Column, sep: str, size: Column, deeper) -> Column:
     """Pieces of ``text`` cut before every ``sep``; longer ones go to ``deeper``.
 
     Splitting at a plain separator and putting it back costs less than a look-ahead
@@ -68,8 +72,10 @@ def _break(text: Column, sep: str, size: int, deeper) -> Column:
     return _let(F.split(text, sep), pieces)
 
 
-def text_pieces(text: Column, size: int, overlap: int) -> Column:
+def text_pieces(text: Column, size: Column | int, overlap: Column | int) -> Column:
     """``array<struct<t, n, fresh>>`` of pieces no longer than ``size``."""
+    size, overlap = _number(size), _number(overlap)
+
     def by_word(part):
         return _break(part, SPACE, size, lambda word: _slices(word, size, overlap))
 
@@ -79,7 +85,7 @@ def text_pieces(text: Column, size: int, overlap: int) -> Column:
     return _break(text, BLANK_LINE, size, by_line)
 
 
-def _spans(pieces: Column, size: int, overlap: int) -> Column:
+def _spans(pieces: Column, size: Column | int, overlap: Column | int) -> Column:
     """Pack pieces; returns ``array<struct<a, b>>``, piece positions [a, b).
 
     Spark copies the state of a fold at every step, so the spans found are not kept in
@@ -87,14 +93,16 @@ def _spans(pieces: Column, size: int, overlap: int) -> Column:
     outer fold over the segments appends them. Long texts stay close to linear.
     """
     none = F.array().cast("array<struct<a:int,b:int>>")
+    never = isinstance(overlap, int) and overlap == 0
+    size, overlap = _number(size), _number(overlap)
 
     def span(state):
         return F.struct(state["first"].alias("a"), state["i"].alias("b"))
 
     def kept_tail(state, piece):
         """Count and width of the trailing pieces that the next chunk repeats."""
-        room = F.least(F.lit(overlap), F.lit(size) - piece["n"])
-        reach = F.least(F.lit(overlap), state["i"] - state["first"])
+        room = F.least(overlap, size - piece["n"])
+        reach = F.least(overlap, state["i"] - state["first"])
         tail = F.reverse(F.slice(pieces, state["i"] - reach + 1, reach))
         zero = F.struct(F.lit(0).alias("seen"), F.lit(0).alias("count"), F.lit(0).alias("width"))
 
@@ -115,7 +123,7 @@ def _spans(pieces: Column, size: int, overlap: int) -> Column:
         fits = state_of(state["done"], state["first"], state["width"] + piece["n"], following)
         done = F.when(state["i"] == 0, state["done"]).otherwise(F.concat(state["done"], F.array(span(state))))
         fresh = state_of(done, state["i"], piece["n"], following)
-        if overlap == 0:
+        if never:
             overflow = fresh
         else:
             overflow = _let(kept_tail(state, piece), lambda tail: state_of(
@@ -138,12 +146,14 @@ def _spans(pieces: Column, size: int, overlap: int) -> Column:
     return F.aggregate(F.sequence(zero, last), state_of(none, zero, zero, zero), add_segment, close)
 
 
-def _check(size: int, overlap: int) -> None:
+def _check(size: Column | int, overlap: Column | int) -> None:
+    if isinstance(size, Column) or isinstance(overlap, Column):
+        return
     if size < 1 or not 0 <= overlap < size:
         raise ValueError("need size >= 1 and 0 <= overlap < size")
 
 
-def _chunk_array(df: DataFrame, text_col: str, size: int, overlap: int, when: Column | None,
+def _chunk_array(df: DataFrame, text_col: str, size: Column | int, overlap: Column | int, when: Column | None,
                  trim: bool) -> tuple[DataFrame, Column]:
     """Rows with their pieces and spans, and the expression of their chunks."""
     _check(size, overlap)
@@ -158,7 +168,7 @@ def _chunk_array(df: DataFrame, text_col: str, size: int, overlap: int, when: Co
     return spans, F.when(cut, joined).otherwise(F.array(F.col(text_col)))
 
 
-def with_recursive_chunks(df: DataFrame, text_col: str, size: int, overlap: int,
+def with_recursive_chunks(df: DataFrame, text_col: str, size: Column | int, overlap: Column | int,
                           out_col: str = "chunks", when: Column | None = None,
                           trim: bool = True) -> DataFrame:
     """Add the array of chunks of ``text_col``.
@@ -170,7 +180,8 @@ def with_recursive_chunks(df: DataFrame, text_col: str, size: int, overlap: int,
     return spans.select(*df.columns, chunks.alias(out_col))
 
 
-def recursive_chunks(df: DataFrame, text_col: str = "section_text", size: int = 512, overlap: int = 51,
+def recursive_chunks(df: DataFrame, text_col: str = "section_text", size: Column | int = 512,
+                     overlap: Column | int = 51,
                      chunk_col: str = "text", number_col: str = "chunk_number",
                      when: Column | None = None) -> DataFrame:
     """One row per chunk, numbered from 1.
@@ -184,15 +195,21 @@ def recursive_chunks(df: DataFrame, text_col: str = "section_text", size: int =
         *kept, (F.col("__pos") + 1).alias(number_col), F.col("__chunk").alias(chunk_col))
 
 
-def split_sections(planned: DataFrame, size: int = 512, overlap: int | None = None,
+def split_sections(planned: DataFrame, size: int | None = None, overlap: int | None = None,
                    ids: tuple[str, ...] = ("year", "section_number"),
                    text_col: str = "section_text") -> DataFrame:
     """Chunks of planned sections: ids, ``chunk_number`` from 1 and ``text``.
 
-    ``planned`` carries ``requires_chunking`` from the chunk plan; a section that is
-    not flagged, or has no plan row, passes through as chunk 1.
+    ``planned`` carries ``requires_chunking``, ``suggested_chunk_size`` and ``overlap``
+    from the chunk plan; a section that is not flagged, or has no plan row, passes through
+    as chunk 1. A ``size`` given here counts for all sections instead, with a tenth of it
+    as overlap.
     """
-    overlap = int(size * 0.1) if overlap is None else overlap
+    if size is None:
+        size = F.col("suggested_chunk_size")
+        overlap = F.col("overlap") if overlap is None else overlap
+    elif overlap is None:
+        overlap = int(size * 0.1)
     return recursive_chunks(planned, text_col, size, overlap, when=F.col("requires_chunking")).select(
         *ids, "chunk_number", "text")
 

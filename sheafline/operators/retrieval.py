@@ -11,8 +11,8 @@ from sheafline.operators.encode import HashingEncoder
 from sheafline.operators.neighbors import nearest
 from sheafline.session import stored
 
-# A survivor row is three numbers and a key; this many are broadcast at most.
-MAX_BROADCAST_HITS = 1_000_000
+# Hits that are broadcast at most, in bytes.
+MAX_BROADCAST_BYTES = 64 * 2**20
 METADATA = ("year", "section_number", "chunk_number")
 
 
@@ -24,9 +24,11 @@ def build_vector_table(chunks: DataFrame, encoder=None, text_col: str = "text",
 
 
 def broadcast_if_small(rows: DataFrame) -> DataFrame:
-    """Hint a broadcast for a stored table of hits that was counted to be small."""
-    few = rows.limit(MAX_BROADCAST_HITS + 1).count() <= MAX_BROADCAST_HITS
-    return F.broadcast(rows) if few else rows
+    """Hint a broadcast for a stored table of hits whose values were measured to be small."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in rows.columns),
+                F.lit(16))
+    measured = rows.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(rows) if measured <= MAX_BROADCAST_BYTES else rows
 
 
 def attach_chunks(ranked: DataFrame, chunks: DataFrame, chunk_key: str = "chunk_key") -> DataFrame:
@@ -89,7 +91,8 @@ def retrieve(queries: DataFrame, chunks: DataFrame, k: int = 200, year: str | in
     """All queries at once: top k, then the year, then one hit per content.
 
     Returns the queries with an array ``chunks`` of hits in rank order. ``find`` is
-    the search, :func:`nearest` or :func:`nearest_by_hash`.
+    the search, :func:`nearest` or :func:`nearest_by_hash`. Chunk keys must be unique; a
+    key that two of the chunks found share is an error.
 
     The text of the chunk table is read once, for the chunks that any query found;
     duplicates are removed on keys and digests, before the texts are joined.
@@ -103,6 +106,8 @@ def retrieve(queries: DataFrame, chunks: DataFrame, k: int = 200, year: str | in
         shown = in_year(shown, year)
     found = stored(chunks_found(ranked, shown, chunk_key).withColumn(
         "__same", digest(F.col(content))), "found-chunks")
+    if found.groupBy(chunk_key).count().where("count > 1").limit(1).count():
+        raise ValueError(f"{chunk_key} is not unique in the chunk table")
     unique = first_by_content(attach_chunks(ranked, found.select(chunk_key, "__same"), chunk_key),
                               [query_id], F.col("__same"), ["rank"])
     hits = unique.drop("__same").join(found.drop("__same"), chunk_key)

@@ -12,33 +12,41 @@ from sheafline.operators.recursive import split_sections
 from sheafline.operators.retrieval import build_vector_table
 from sheafline.operators.sections import section_columns, unpivot_sections
 from sheafline.session import stored
-from sheafline.sources.filings import in_years, of_company
+from sheafline.sources.filings import filing_digest, in_years, of_company
 from sheafline.sources.sinks import read_vector_table, write_vector_table
 
 
 def plan_and_split(sections: DataFrame, limit: int = 512, ratio: float = 0.1,
                    max_sections: int | None = None, ids: tuple[str, ...] = ("year", "section_number")) -> DataFrame:
-    """Section rows -> token statistics -> chunk plan -> chunks."""
+    """Section rows -> token statistics -> chunk plan -> chunks of the planned sizes."""
     plan = chunk_plan(section_token_stats(sections), limit, ratio)
-    return split_sections(attach_plan(sections, plan, max_sections=max_sections), limit,
-                          int(limit * ratio), ids)
+    return split_sections(attach_plan(sections, plan, max_sections=max_sections), ids=ids)
 
 
 def with_chunk_key(chunks: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """A key built from the chunk's own columns, so that it is the same on every run."""
-    return chunks.withColumn("chunk_key", F.concat_ws("/", *ids, "chunk_number"))
+    """A key built from the chunk's own columns, so that it is the same on every run.
+
+    It is their JSON array: a null and a separator inside a part stay apart from
+    everything else, so different ids give different keys.
+    """
+    parts = [F.col(c).cast("string") for c in (*ids, "chunk_number")]
+    return chunks.withColumn("chunk_key", F.to_json(F.array(*parts)))
 
 
 def company_chunks(filings: DataFrame, years: Sequence[str], company: str, limit: int = 512,
                    ratio: float = 0.1, filing_id: str | None = None) -> DataFrame:
     """Chunks of one company's sections over the given years, empty sections included.
 
-    ``filing_id`` names a column that tells filings of one year apart.
+    ``filing_id`` names a column that tells filings of one year apart. Without it a digest
+    of the filing's content does, in a column ``filing``; filings that are equal in every
+    section count as one.
     """
-    extra = (filing_id,) if filing_id else ()
-    ids = (*extra, "year", "section_number")
     chosen = of_company(in_years(filings, years), company)
-    sections = unpivot_sections(chosen, (*extra, "year"), drop_empty=False, short_names=True,
+    if filing_id is None:
+        filing_id = "filing"
+        chosen = chosen.withColumn(filing_id, filing_digest(filings)).dropDuplicates([filing_id])
+    ids = (filing_id, "year", "section_number")
+    sections = unpivot_sections(chosen, (filing_id, "year"), drop_empty=False, short_names=True,
                                 name_col="section_number")
     chunks = plan_and_split(sections, limit, ratio, len(section_columns(filings)), ids)
     return with_chunk_key(chunks, ids)

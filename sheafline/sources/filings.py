@@ -20,6 +20,8 @@ def read_filings(spark: SparkSession, path: str, years: Sequence[str] | None = N
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     filings = reader.parquet(path)
+    if years is not None and "year" not in filings.columns:
+        raise ValueError("years were given, but the table has no year column")
     if "year" in filings.columns:
         filings = filings.withColumn("year", F.col("year").cast("string"))
         if years is not None:
@@ -53,6 +55,13 @@ def union_years(read_year: Callable[[str], DataFrame], years: Sequence[str]) ->
     )
 
 
+def filing_digest(filings: DataFrame) -> Column:
+    """A digest of company, year and all sections of a row; null differs from ''."""
+    parts = ["cik", "year", *(c for c in filings.columns if c.startswith("section_"))]
+    return F.md5(F.concat_ws("|", *(F.coalesce(F.md5(F.col(c).cast("string")), F.lit("-"))
+                                    for c in parts if c in filings.columns)))
+
+
 def with_company(filings: DataFrame) -> DataFrame:
     """Filings whose company id is known."""
     return filings.where(F.col("cik").isNotNull())
@@ -64,12 +73,12 @@ def of_company(filings: DataFrame, cik: str) -> DataFrame:
 
 
 def first_filings(filings: DataFrame, n: int = 10, by: Sequence[str | Column] = ("cik", "year")) -> DataFrame:
-    """The first ``n`` filings in the order ``by``, which should be unique.
+    """The first ``n`` filings in the order ``by``, then by a digest of their content.
 
-    A table has no source order, so the order is explicit; Spark runs this as one
-    top-n per partition and a merge, without a full sort. Fewer rows are no error.
+    A table has no source order, so the order is explicit and total; Spark runs this as
+    one top-n per partition and a merge, without a full sort. Fewer rows are no error.
     """
-    return filings.orderBy(*by).limit(n)
+    return filings.orderBy(*by, filing_digest(filings)).limit(n)
 
 
 def filings_view(documents: DataFrame) -> DataFrame:

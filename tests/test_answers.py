@@ -138,6 +138,12 @@ def test_document_map(filings):
     assert len(models.kmeans.clusterCenters()) == 5
     few, _ = document_map(filings, max_filings=10, encoder=HashingEncoder(32), n_clusters=2)
     assert few.select("year").distinct().count() == 1
+    named = filings.selectExpr("row_number() over (order by section_1) as filing", "*")
+    traced, _ = document_map(named, encoder=HashingEncoder(32))
+    assert traced.select("filing", "section", "chunk_id").distinct().count() == traced.count()
+    again, _ = document_map(named.repartition(5), encoder=HashingEncoder(32))
+    flags = lambda df: sorted((r.filing, r.section, r.chunk_id, r.cluster, r.is_outlier) for r in df.collect())
+    assert flags(traced) == flags(again)
 
 
 def test_company_ingest(spark, filings, tmp_path):
@@ -148,6 +154,27 @@ def test_company_ingest(spark, filings, tmp_path):
     assert all(len(r.text) <= 512 for r in rows)
     assert sum(r.section_number == "7" and r.text == "" for r in rows) > 0
     assert max(r.chunk_number for r in rows) > 5
+    assert len({r.chunk_key for r in rows}) == len(rows)
+
+
+def test_two_filings_of_a_year_are_told_apart(spark, tmp_path):
+    rows = [("1", "2020", "profit rose"), ("1", "2020", "profit fell"), ("1", "2020", "profit fell"),
+            ("1", "2020", None), ("2", "2020", "profit rose")]
+    filings = spark.createDataFrame(rows, "cik string, year string, section_1 string")
+    table, encoder = company_ingest(filings, ["2020"], "1", str(tmp_path / "v"), encoder=HashingEncoder(64))
+    asked = spark.createDataFrame([(7, "profit rose")], "query_id bigint, query string")
+    (found,) = retrieve(encoder.transform(asked, "query", "embeddings"), table, 2, 2020).collect()
+    assert [(c["rank"], c.content, round(c.distance, 6) == 0) for c in found.chunks] == [
+        (1, "profit rose", True), (2, "profit fell", False)]
+
+
+def test_answers_that_are_no_text_are_errors(spark):
+    def generate(prompts, **_):
+        return [{"a": 1} if "dict" in p else 3 if "number" in p else None if "none" in p else p for p in prompts]
+    rows = spark.createDataFrame([(1, "dict"), (2, "number"), (3, "none"), (4, "text")], "i int, prompt string")
+    got = {r.i: (r.answer, r.error) for r in apply_generator(rows, generate).collect()}
+    assert got == {1: (None, "Error: a dict is no text"), 2: (None, "Error: a int is no text"),
+                   3: (None, None), 4: ("text", None)}
 
 
 def test_observed_counts_come_with_the_job(spark):

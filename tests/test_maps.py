@@ -67,7 +67,8 @@ def test_map_points_has_one_distance_per_row(points):
     assert [int(x) for x in d > d.mean() + 2 * d.std()] == [r.is_outlier for r in rows]
     full, _ = map_points(points, keep_vectors=True)
     assert {"embeddings", "scaled_embeddings"} <= set(full.columns) - set(mapped.columns)
-    assert full.count() == 200  # k-means may settle elsewhere: its start depends on the partitions
+    flags = lambda df: {(r.i, r.is_outlier) for r in df.collect()}
+    assert flags(full) == flags(mapped)
     table = plot_table(mapped)
     assert table.columns == ["PC1", "PC2", "Cluster", "Is_Outlier", "Section"]
     assert {r.Section for r in table.select("Section").distinct().collect()} == {"0", "1", "2"}
@@ -76,8 +77,8 @@ def test_map_points_has_one_distance_per_row(points):
 def test_distance_by_broadcast_and_by_shuffle(spark, monkeypatch):
     rows = spark.createDataFrame([(1, 0, [3.0, 4.0]), (2, 1, [1.0, 1.0])], "i int, cluster int, v array<double>")
     centers = spark.createDataFrame([(0, [0.0, 0.0]), (1, [1.0, 1.0])], "cluster int, center array<double>")
-    for bound in (100, 1):
-        monkeypatch.setattr(mapping, "MAX_BROADCAST_CENTERS", bound)
+    for bound in (1000, 1):
+        monkeypatch.setattr(mapping, "MAX_BROADCAST_BYTES", bound)
         got = {r.i: r.distance_to_center for r in distance_to_center(rows, centers, "v").collect()}
         assert got == {1: 5.0, 2: 0.0}
 
@@ -121,3 +122,21 @@ def test_batch_encoder_gets_batches(spark):
     out = embed_text(rows, encoder=BatchEncoder(load, 4))
     assert matrix(out, "embeddings").tolist() == [[i, 1.0] for i in range(10)]
     assert out.select(as_array(out, "embeddings").alias("a")).schema["a"].dataType.simpleString() == "array<double>"
+
+
+def test_the_map_does_not_depend_on_partitions(points):
+    results = []
+    for n in (1, 3, 8):
+        mapped, _ = map_points(points.repartition(n))
+        results.append(sorted((r.i, r.cluster, r.is_outlier) for r in mapped.collect()))
+    assert results[0] == results[1] == results[2]
+
+
+def test_scatter_bins_are_bounded(spark):
+    rows = spark.range(5000).selectExpr("double(id) * 1e9 as PC1", "double(-id % 7) as PC2")
+    bins = scatter_bins(rows, bins=20)
+    got = bins.collect()
+    assert len(got) <= 400 and sum(r.n_points for r in got) == 5000
+    assert {r.bin_x for r in got} == set(range(20))
+    same = spark.range(3).selectExpr("double(4) as PC1", "double(id) as PC2")
+    assert {r.bin_x for r in scatter_bins(same, bins=5).collect()} == {0}

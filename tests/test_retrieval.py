@@ -51,7 +51,7 @@ def test_nearest_equals_brute_force(spark, vectors, metric, k):
     queries, chunks = frame(spark, "query_id", q), frame(spark, "chunk_key", c).repartition(5)
     expected = by_hand(q, c, k, metric)
     assert ranks(nearest(queries, chunks, k, metric=metric)) == expected
-    assert ranks(nearest(queries, chunks, k, metric=metric, max_broadcast_queries=3, block_rows=60)) == expected
+    assert ranks(nearest(queries, chunks, k, metric=metric, query_rows=4)) == expected
 
 
 @pytest.mark.parametrize("seed", range(12))
@@ -94,13 +94,13 @@ def test_nearest_skips_missing_vectors_and_checks_lengths(spark):
 def test_hash_mode_distances_are_exact_and_blocks_do_not_matter(spark, vectors):
     q, c = vectors
     queries, chunks = frame(spark, "query_id", q), frame(spark, "chunk_key", c)
-    whole = nearest_by_hash(queries, chunks, 400, bucket_length=2.0)
+    whole = nearest_by_hash(queries, chunks, 400, bucket_length=2.0, projections=2)
     rows = whole.collect()
     for r in rows:
         gap = np.linalg.norm(np.float32(q[r.query_id]).astype(float) - np.float32(c[r.chunk_key]))
         assert r.distance == pytest.approx(gap)
     assert len({(r.query_id, r.chunk_key) for r in rows}) == len(rows)
-    cut = nearest_by_hash(queries, chunks, 400, bucket_length=2.0, block_rows=20)
+    cut = nearest_by_hash(queries, chunks, 400, bucket_length=2.0, projections=2, block_rows=20)
     assert {tuple(r) for r in cut.collect()} == {tuple(r) for r in rows}
     wide = nearest_by_hash(queries, chunks, 20, bucket_length=1000.0, tables=8)
     assert ranks(wide) == by_hand(q, c, 20)
@@ -130,7 +130,7 @@ def test_year_is_applied_after_the_top_k(library):
 
 
 def test_retrieve_by_shuffle(library, monkeypatch):
-    monkeypatch.setattr(retrieval, "MAX_BROADCAST_HITS", 0)
+    monkeypatch.setattr(retrieval, "MAX_BROADCAST_BYTES", 0)
     queries, chunks = library
     assert shown(retrieve(queries, chunks, 4, 2020)) == [[(2, 2), (4, 4)]]
 
@@ -164,3 +164,34 @@ def test_first_by_content_of_a_hot_group(spark):
     assert got.columns == ["g", "o", "t"]
     assert sorted(r.o for r in got.where("t = 'copy'").collect()) == [0, 3]
     assert got.count() == 2000 + 2
+
+
+def test_doubles_are_compared_as_doubles(spark):
+    queries = spark.createDataFrame([(0, [1.0, 0.0])], "query_id bigint, embeddings array<double>")
+    chunks = spark.createDataFrame([(1, [1 + 2e-9, 0.0]), (2, [1 + 1e-9, 0.0])],
+                                   "chunk_key bigint, embeddings array<double>")
+    assert ranks(nearest(queries, chunks, 2)) == {(0, 2, 1), (0, 1, 2)}
+
+
+def test_hash_mode_finds_most_and_compares_few(spark):
+    rng = np.random.default_rng(8)
+    centers = rng.normal(size=(40, 16)) * 4
+    c = centers[rng.integers(0, 40, 3000)] + rng.normal(size=(3000, 16)) * 0.2
+    q = c[rng.integers(0, 3000, 60)]
+    queries, chunks = frame(spark, "query_id", q), frame(spark, "chunk_key", c)
+    exact = {r[:2] for r in ranks(nearest(queries, chunks, 10))}
+    near = nearest_by_hash(queries, chunks, 3000)
+    compared = near.count()
+    assert compared <= 0.1 * len(q) * len(c)
+    found = {(r.query_id, r.chunk_key) for r in near.where("rank <= 10").collect()}
+    assert len(found & exact) >= 0.9 * len(exact)
+
+
+def test_chunk_keys_have_to_be_unique(spark):
+    rows = [("a", [0.1], "x"), ("a", [0.2], "y"), ("b", [0.3], "z")]
+    chunks = spark.createDataFrame([(k, v, t, "2020", "1", 1) for k, v, t in rows],
+                                   "chunk_key string, embeddings array<float>, text string, year string, "
+                                   "section_number string, chunk_number int")
+    queries = spark.createDataFrame([(1, [0.0], "q")], "query_id bigint, embeddings array<float>, query string")
+    with pytest.raises(ValueError, match="unique"):
+        retrieve(queries, chunks, 2)

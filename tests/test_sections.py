@@ -86,3 +86,16 @@ def test_spread_only_adds_tasks(spark):
     one = spark.range(0, 100, 1, 1)
     assert spread(one, 4).rdd.getNumPartitions() == 4
     assert spread(spark.range(0, 100, 1, 6), 4).rdd.getNumPartitions() == 6
+
+
+def test_years_need_a_year_column(spark, tmp_path):
+    spark.createDataFrame([("1", "x")], "cik string, section_1 string").write.parquet(str(tmp_path / "f"))
+    assert read_filings(spark, str(tmp_path / "f")).count() == 1
+    with pytest.raises(ValueError, match="year"):
+        read_filings(spark, str(tmp_path / "f"), years=["1999"])
+
+
+def test_first_filings_are_the_same_however_the_table_is_split(spark):
+    rows = spark.createDataFrame([("1", "2020", f"t{i}") for i in range(50)], "cik string, year string, section_1 string")
+    first = [{r.section_1 for r in first_filings(rows.repartition(n), 5).collect()} for n in (1, 3, 7)]
+    assert first[0] == first[1] == first[2]
