@@ -286,15 +286,15 @@ def nearest(queries: DataFrame, chunks: DataFrame, k: int = 200, *, query_id: st
 def nearest_by_hash(queries: DataFrame, chunks: DataFrame, k: int = 200, *, query_id: str = "query_id",
                     query_vector: str = "embeddings", chunk_key: str = "chunk_key",
                     chunk_vector: str = "embeddings", bucket_length: float | None = None,
-                    tables: int = 8, projections: int = 3, seed: int = 7,
+                    tables: int = 8, projections: int = 4, seed: int = 7,
                     block_rows: int | None = None) -> DataFrame:
     """Approximate mode for query tables too large to compare with every chunk.
 
     Only chunks that share a bucket with the query, in at least one hash table, are
     compared; within those the distances and the ranking are exact. A bucket is a cell of
-    ``projections`` random projections together. ``bucket_length`` is by default three
-    times the deviation of a projection, estimated from all chunks, so that it follows
-    the scale of the vectors. Larger buckets and more ``tables`` find more; more
+    ``projections`` random projections together. ``bucket_length`` is by default the
+    deviation of a projection, estimated from all chunks, so that it follows the scale of
+    the vectors. Larger buckets and more ``tables`` find more; more
     ``projections`` compare less. Vectors without cluster structure in many dimensions
     have no cells that help: use :func:`nearest` there.
     """
@@ -306,7 +306,7 @@ def nearest_by_hash(queries: DataFrame, chunks: DataFrame, k: int = 200, *, quer
     if bucket_length is None:
         spread = c.select(Summarizer.variance(F.col("__vector")).alias("v")).first()["v"]
         mean = float(np.nanmean(spread.toArray())) if spread is not None and len(spread) else 0.0
-        bucket_length = 3.0 * max(mean, 1e-12) ** 0.5
+        bucket_length = max(mean, 1e-12) ** 0.5
     lsh = BucketedRandomProjectionLSH(inputCol="__vector", outputCol="__hashes", seed=seed,
                                       bucketLength=bucket_length, numHashTables=tables * projections).fit(c)
 

@@ -102,7 +102,7 @@ def test_hash_mode_distances_are_exact_and_blocks_do_not_matter(spark, vectors):
     assert len({(r.query_id, r.chunk_key) for r in rows}) == len(rows)
     cut = nearest_by_hash(queries, chunks, 400, bucket_length=2.0, projections=2, block_rows=20)
     assert {tuple(r) for r in cut.collect()} == {tuple(r) for r in rows}
-    wide = nearest_by_hash(queries, chunks, 20, bucket_length=1000.0, tables=8)
+    wide = nearest_by_hash(queries, chunks, 20, bucket_length=1000.0, tables=8, projections=1)
     assert ranks(wide) == by_hand(q, c, 20)
 
 
@@ -137,7 +137,7 @@ def test_retrieve_by_shuffle(library, monkeypatch):
 
 def test_retrieve_by_hash(library):
     queries, chunks = library
-    found = retrieve(queries, chunks, 4, 2020, find=nearest_by_hash, bucket_length=100.0, tables=8)
+    found = retrieve(queries, chunks, 4, 2020, find=nearest_by_hash, bucket_length=100.0, tables=8, projections=1)
     assert shown(found) == [[(2, 2), (4, 4)]]
 
 
