@@ -14,7 +14,7 @@ from sheafline.llm.minhash import near_duplicates
 from sheafline.llm.mixing import mix
 from sheafline.llm.neighbour_graph import nearest
 from sheafline.llm.quality import fit_quality, score_quality
-from sheafline.llm.sampling import remainder
+from sheafline.llm.sampling import per_label, remainder
 from sheafline.llm.substrings import without_repeats
 from sheafline.llm.toxicity import fit_toxicity, score_toxicity
 from sheafline.llm.warc import captures, read_archives, write_archives
@@ -97,13 +97,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model, ["doc_id", "held_out"])
 
 
+#: Labelled ids that are sent to all tasks to find the texts of a sample.
+LABEL_IDS = 8000
+
+
 def _labelled(spark: SparkSession, sf_dir: str, label: str, divisor: int, held: int) -> DataFrame:
-    """Texts with their label, of the documents that may teach; the label table is the
-    small side, and repeated rows teach once."""
+    """Texts with their label of a bounded sample of the documents that may teach. The ids
+    are drawn before the join, so the texts stay where they are."""
     labels = table(spark, sf_dir, "labels").select("doc_id", label).where(
-        remainder("doc_id", divisor) != held)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.join(labels, "doc_id")
+        F.col(label).isNotNull() & (remainder("doc_id", divisor) != held))
+    chosen = stored(per_label(labels, label, "doc_id", LABEL_IDS), "labels")
+    return table(spark, sf_dir, "documents").select("doc_id", "text").join(
+        F.broadcast(chosen), "doc_id")
 
 
 def _held_out(spark: SparkSession, sf_dir: str, divisor: int, held: int) -> DataFrame:
