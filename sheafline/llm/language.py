@@ -152,11 +152,10 @@ def identify(rows: DataFrame, model: LanguageModel, keep: list[str]) -> DataFram
     everything `und`."""
     source = rows.select(*keep, F.col("text").alias("_text"))
     schema = source.drop("_text").schema
-    send = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
-            found = [send.value.predict(t) for t in batch.column(len(keep)).to_pylist()]
+            found = [model.predict(t) for t in batch.column(len(keep)).to_pylist()]
             langs, scores, rejected = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], pa.array(langs, pa.string()),

@@ -103,10 +103,9 @@ def mix(docs: DataFrame, keep: list[str], budget: int | None = None,
     budget = min(total if budget is None else budget, int(repetitions * total))
     power = exponent(sources, total, budget, entropy_share, repetitions)
     share = F.pow(F.col("tokens") / F.lit(float(max(1, total))), F.lit(power))
-    every = sources.agg(F.sum(share).alias("every"))
-    quota = F.floor(F.lit(float(budget)) * share / F.col("every") + F.lit(1e-6))
-    plan = stored(sources.crossJoin(F.broadcast(every)).select(
-        "source", "tokens", quota.alias("quota")).select(
+    every = sources.agg(F.sum(share)).first()[0] or 1.0
+    quota = F.floor(F.lit(float(budget)) * share / F.lit(every) + F.lit(1e-6))
+    plan = stored(sources.select("source", "tokens", quota.alias("quota")).select(
         "source", "tokens", "quota", F.floor(F.col("quota") / F.col("tokens")).alias("passes"),
         (F.col("quota") % F.col("tokens")).alias("rest")), "mix_plan")
     planned = counted.join(small_or_shuffled(plan, 100), "source").withColumn(

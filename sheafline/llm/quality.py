@@ -148,11 +148,10 @@ def score_quality(rows: DataFrame, model: QualityModel, keep: list[str]) -> Data
     """The columns ``keep`` of ``rows (text, …)`` with score (0 to 1, higher: label 1 is
     likelier). Null, empty and blank texts are all one text without words."""
     source = rows.select(*keep, F.col("text").alias("_text"))
-    send = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
-            scores = send.value.scores(batch.column(len(keep)).to_pylist())
+            scores = model.scores(batch.column(len(keep)).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], pa.array(scores, pa.float64())],
                 names=[*keep, "score"])

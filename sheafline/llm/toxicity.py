@@ -180,14 +180,13 @@ def score_toxicity(rows: DataFrame, model: ToxicityModel, keep: list[str]) -> Da
     """The columns ``keep`` of ``rows (text, …)`` with score, the probability (0 to 1)
     that the text is toxic. Null, empty and wordless texts get the score of no signal."""
     source = rows.select(*keep, F.col("text").alias("_text"))
-    send = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         known: dict[str, float] = {}
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
-                scores = send.value.scores(part.column(len(keep)).to_pylist(), known)
+                scores = model.scores(part.column(len(keep)).to_pylist(), known)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:len(keep)], pa.array(scores, pa.float64())],
                     names=[*keep, "score"])
