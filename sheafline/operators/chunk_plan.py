@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from sheafline.functions.text import token_count
 from sheafline.session import stored
 
-# A plan row is a section name and six numbers, so this many rows stay far below
-# what Spark accepts for a broadcast.
-MAX_BROADCAST_SECTIONS = 100_000
+# A plan that is broadcast has at most so many bytes: its section names, and the numbers
+# of each row.
+MAX_BROADCAST_BYTES = 32 * 2**20
+ROW_BYTES = 128
 
 
 def section_token_stats(sections: DataFrame, section_col: str = "section_number",
@@ -62,13 +63,17 @@ def attach_plan(sections: DataFrame, plan: DataFrame, section_col: str = "sectio
 
     ``max_sections`` is a bound the caller can prove, such as the number of section
     columns of a wide table; with it the plan is broadcast and nothing runs here.
-    Without it the plan is computed once, stored, and counted: small plans are
+    Without it the plan is computed once, stored, and measured: small plans are
     broadcast so that the texts are not shuffled, others use a shuffle join, whose
     hot sections adaptive execution splits.
     """
     if max_sections is None:
         plan = stored(plan, "chunk-plan")
-        max_sections = plan.limit(MAX_BROADCAST_SECTIONS + 1).count()
-    if max_sections <= MAX_BROADCAST_SECTIONS:
+        names = F.sum(F.coalesce(F.octet_length(F.col(section_col).cast("string")), F.lit(0)))
+        rows, names = plan.agg(F.count(F.lit(1)), names.cast("long")).first()
+        size = rows * ROW_BYTES + (names or 0)
+    else:
+        size = max_sections * ROW_BYTES
+    if size <= MAX_BROADCAST_BYTES:
         plan = F.broadcast(plan)
     return sections.join(plan, section_col, "left")

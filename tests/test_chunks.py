@@ -65,7 +65,7 @@ def test_attach_plan_by_broadcast_and_by_shuffle(spark, monkeypatch):
     expected = {("a", 1, True), ("b", 2, False), ("c", 3, None)}
     assert {tuple(r) for r in attach_plan(rows, plan, max_sections=2).collect()} == expected
     assert {tuple(r) for r in attach_plan(rows, plan).collect()} == expected
-    monkeypatch.setattr(plans, "MAX_BROADCAST_SECTIONS", 1)
+    monkeypatch.setattr(plans, "MAX_BROADCAST_BYTES", 1)
     assert {tuple(r) for r in attach_plan(rows, plan).collect()} == expected
 
 
