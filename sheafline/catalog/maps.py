@@ -94,6 +94,47 @@ def _pca_eigen_residuals(spark, sf_dir):
         (F.col("v1") >= F.col("v2")).alias("ordered"))
 
 
+# The two largest eigenvalues of the correlation matrix by power iteration; the second
+# after the first was taken out.
+@query("pca_largest_variances", """
+WITH RECURSIVE cells AS (
+  SELECT vec_id, unnest(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS x,
+         generate_subscripts(embedding, 1) AS dim FROM embeddings),
+moments AS (SELECT dim, avg(x) AS mu, stddev_samp(x) AS sd FROM cells GROUP BY dim),
+scaled AS (SELECT vec_id, dim, CASE WHEN sd > 0 THEN (x - mu) / sd ELSE 0 END AS z
+           FROM cells JOIN moments USING (dim)),
+pairs AS (SELECT a.dim AS i, b.dim AS j, sum(a.z * b.z) / (count(*) - 1) AS c
+          FROM scaled a JOIN scaled b USING (vec_id) GROUP BY a.dim, b.dim),
+matrix AS (SELECT list(r ORDER BY i) AS m FROM (
+  SELECT i, list(c ORDER BY j) AS r FROM pairs GROUP BY i)),
+first AS (
+  SELECT 0 AS step, list_transform(m, lambda r: 1.0 + r[1]) AS v FROM matrix
+  UNION ALL
+  SELECT step + 1, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w)))
+  FROM (SELECT step, list_transform(m, lambda r: list_dot_product(r, v)) AS w FROM first, matrix)
+  WHERE step < 1500),
+top AS (SELECT v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS l
+        FROM first, matrix WHERE step = 1500),
+rest AS (SELECT l, list_transform(range(1, len(m) + 1), lambda i: list_transform(range(1, len(m) + 1),
+                lambda j: m[i][j] - l * v[i] * v[j])) AS m FROM matrix, top),
+second AS (
+  SELECT 0 AS step, list_transform(m, lambda r: 1.0 + r[2]) AS v FROM rest
+  UNION ALL
+  SELECT step + 1, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w)))
+  FROM (SELECT step, list_transform(m, lambda r: list_dot_product(r, v)) AS w FROM second, rest)
+  WHERE step < 1500)
+SELECT 1 AS component, round(l, 4) AS variance FROM top
+UNION ALL
+SELECT 2, round(list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))), 4)
+FROM second, rest WHERE step = 1500""")
+def _pca_largest_variances(spark, sf_dir):
+    """The components are those of the largest variances."""
+    projected, _ = project(_scaled(spark, sf_dir))
+    parts = projected.select(F.posexplode(vector_to_array("pca_features")).alias("pos", "x"))
+    return parts.groupBy((F.col("pos") + 1).alias("component")).agg(
+        F.round(F.var_samp("x"), 4).alias("variance"))
+
+
 def _clustered(spark, sf_dir):
     projected, _ = project(_scaled(spark, sf_dir))
     return cluster(projected)
