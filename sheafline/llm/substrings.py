@@ -109,7 +109,7 @@ def _pieces(window: int):
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            grams, bodies, docs, starts, counts = [], [], [], [], []
+            grams, bodies, docs, places = [], [], [], []
             for row, text in enumerate(byte_texts(batch.column(2))):
                 words = text.split() if text else ()
                 if len(words) < window:
@@ -125,8 +125,7 @@ def _pieces(window: int):
                 bodies += [xxhash.xxh3_64_intdigest(raw[8 * s:8 * (s + n + window - 1)])
                            for s, n in zip(first.tolist(), many.tolist())]
                 grams.append(gram[chosen[first]])
-                starts.append(first)
-                counts.append(many)
+                places.append(first * 64 + many)
                 docs += [row] * len(first)
             none = [np.empty(0, np.uint64)]
             yield pa.RecordBatch.from_arrays([
@@ -134,9 +133,8 @@ def _pieces(window: int):
                 pa.array(np.array(bodies, np.uint64).view(np.int64)),
                 batch.column(0).take(pa.array(docs, pa.int32())),
                 batch.column(1).take(pa.array(docs, pa.int32())),
-                pa.array(np.concatenate([np.empty(0, np.int32), *starts]).astype(np.int32)),
-                pa.array(np.concatenate([np.empty(0, np.int32), *counts]).astype(np.int32))],
-                names=["gram", "body", "doc_id", "text_hash", "start", "n"])
+                pa.array(np.concatenate([np.empty(0, np.int64), *places]))],
+                names=["gram", "body", "doc_id", "text_hash", "place"])
     return run
 
 
@@ -227,20 +225,24 @@ def without_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     key = ["doc_id", "text_hash"]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.xxhash64("text").alias("text_hash"), "text")
+    # The place of a piece is its first word times 64 plus its number of windows.
     anchors = stored(docs.mapInArrow(
-        _pieces(window), "gram long, body long, doc_id long, text_hash long, start int, n int"),
+        _pieces(window), "gram long, body long, doc_id long, text_hash long, place long"),
         "pieces")
-    often = anchors.groupBy("gram").agg(F.count("*").alias("times")).where("times > 1")
-    repeated = stored(anchors.join(often.select("gram"), "gram"), "repeated")
+    # Stored sides are plain scans, so that adaptive execution can split a hot gram.
+    often = stored(anchors.groupBy("gram").agg(F.count("*").alias("times"))
+                   .where("times > 1").select("gram"), "often")
+    repeated = stored(anchors.join(often, "gram"), "repeated")
     classes = stored(repeated.groupBy("gram", "body").agg(
         F.count("*").alias("times"),
-        F.min(F.struct(*key, "start", "n")).alias("at")), "classes")
+        F.min(F.struct(*key, "place")).alias("at")), "classes")
     mixed = (classes.groupBy("gram").agg(F.count("*").alias("pieces")).where("pieces > 1")
              .select("gram", F.ceil(F.col("pieces") / SHARD_PIECES).alias("shards")))
     wanted = stored(classes.join(mixed, "gram").groupBy(
         F.col("at.doc_id").alias("in_doc"), F.col("at.text_hash").alias("in_text")).agg(
-        F.collect_list(F.struct("gram", "body", "times", "shards", F.col("at.start").alias("start"),
-                                F.col("at.n").alias("n"))).alias("pieces")), "wanted")
+        F.collect_list(F.struct("gram", "body", "times", "shards",
+                                F.shiftright("at.place", 6).alias("start"),
+                                F.col("at.place").bitwiseAND(F.lit(63)).alias("n"))).alias("pieces")), "wanted")
     in_doc = [F.col("doc_id").eqNullSafe(F.col("in_doc")), F.col("text_hash") == F.col("in_text")]
     # Rows that repeat a document hold the same pieces once.
     holders = docs.join(small_or_shuffled(wanted.select("in_doc", "in_text"), 24), in_doc,
@@ -250,13 +252,14 @@ def without_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     masks = by_key(contents, ["gram", "shard"], _shard_repeats(window),
                    "gram long, body long, mask long").groupBy("gram", "body").agg(
         F.bit_or("mask").alias("mask"))
-    all_ones = F.expr("shiftleft(1L, n) - 1")
+    all_ones = F.expr("shiftleft(1L, int(place & 63)) - 1")
     whole = classes.join(masks, ["gram", "body"], "left").select(
         "gram", "body", F.when(F.col("mask").isNull(), F.lit(-1)).otherwise(F.col("mask"))
         .alias("mask")).where("mask <> 0")
     spans = (repeated.join(whole, ["gram", "body"]).groupBy(
         F.col("doc_id").alias("in_doc"), F.col("text_hash").alias("in_text")).agg(
-        F.collect_set(F.struct("start", F.col("mask").bitwiseAND(all_ones).alias("mask")))
+        F.collect_set(F.struct(F.shiftright("place", 6).alias("start"),
+                               F.col("mask").bitwiseAND(all_ones).alias("mask")))
         .alias("spans")))
     return docs.join(spans, in_doc, "left").select("doc_id", "text", "spans").mapInArrow(
         _kept(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, "
