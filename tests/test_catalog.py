@@ -9,10 +9,11 @@ import pytest
 sys.path.insert(0, str(Path(__file__).parent.parent))
 
 import __spark_entry__ as driver  # noqa: E402
+from sheafline.catalog import all_queries, all_sql  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
 TABLES = ("documents", "embeddings", "benchmark", "conversations")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +26,7 @@ def duck():
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
-    assert set(SQL) <= set(QUERIES)
+    assert set(driver.oracle_sql()) <= set(driver.queries()) and set(QUERIES) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
