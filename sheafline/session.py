@@ -50,9 +50,23 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_written: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one table in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete the tables that this process has stored in the shared folder. Call it when
+    results have been written: DataFrames that read a stored table are void after it."""
+    context = spark.sparkContext
+    for path in map(context._jvm.org.apache.hadoop.fs.Path, _written):
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    _written.clear()
 
 
 def stored(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -188,3 +188,16 @@ def test_stored_survives_and_lives_in_the_shared_folder(spark):
     assert table.count() == 5 and table.inputFiles()[0].split("file://")[1].startswith(
         shared_folder(spark).removeprefix("file:"))
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_clean_removes_what_was_stored(spark):
+    from sheafline import session
+    before = list(session._written)
+    session._written.clear()
+    table = stored(spark.range(3), "short")
+    (path,) = session._written
+    assert table.count() == 3
+    session.clean(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|not exist"):
+        spark.read.parquet(path).count()
+    session._written.extend(before)
