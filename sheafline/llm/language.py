@@ -25,9 +25,9 @@ DIMENSIONS = 1 << 14
 #: Labelled texts that centroids are fitted on, all languages together.
 SAMPLE_ROWS = 4000
 CLUSTERS = 3
-#: A text is rejected below this share of the cosine that all but one in a thousand
-#: texts of the sample reach at that centroid.
-REJECT_SHARE = 0.25
+#: A text is rejected below this share of the cosine that all but one in a thousand texts
+#: of the sample reach at their centroid, taken at the centroid where that is smallest.
+REJECT_SHARE = 0.3
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _ORDERS = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917))
@@ -60,7 +60,7 @@ class LanguageModel:
     languages: list[str]
     owner: np.ndarray      # language number of each centroid
     centroids: np.ndarray  # DIMENSIONS x number of centroids
-    least: np.ndarray      # smallest cosine that is not rejected, per centroid
+    least: float           # smallest cosine that is not rejected
     weights: np.ndarray    # inverse document frequency
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
@@ -78,7 +78,7 @@ class LanguageModel:
         cosines = found[1] @ self.centroids[found[0]]
         best = int(cosines.argmax())
         cosine = min(1.0, max(0.0, float(cosines[best])))
-        return self.languages[self.owner[best]], cosine, cosine < self.least[best]
+        return self.languages[self.owner[best]], cosine, cosine < self.least
 
 
 def _frequencies(batches):
@@ -120,7 +120,7 @@ def fit_languages(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Langua
         weights[bucket] = np.log((rows + 1.0) / (n + 1)) + 1
     sample = per_label(labelled.where(F.length("text") <= LONGEST_SAMPLE_TEXT), "lang", "text",
                        sample_rows).toArrow()
-    model = LanguageModel([], np.empty(0, int), np.empty((DIMENSIONS, 0)), np.empty(0), weights)
+    model = LanguageModel([], np.empty(0, int), np.empty((DIMENSIONS, 0)), 0.0, weights)
     owner, centers, least = [], [], []
     order = sorted(zip(sample["lang"].to_pylist(), sample["text"].to_pylist()))
     for lang in sorted({x for x, _ in order}):
@@ -137,10 +137,10 @@ def fit_languages(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Langua
             owner.append(len(model.languages))
             centers.append(center)
             own = cosines[nearest == k, k]
-            least.append(REJECT_SHARE * (np.quantile(own, 0.001) if len(own) else 1.0))
+            least.append(np.quantile(own, 0.001) if len(own) else 1.0)
         model.languages.append(lang)
     if centers:
-        model.owner, model.least = np.array(owner), np.array(least)
+        model.owner, model.least = np.array(owner), REJECT_SHARE * float(min(least))
         model.centroids = np.ascontiguousarray(np.stack(centers).T.astype(np.float32))
     return model
 
