@@ -7,17 +7,18 @@
    fifteen starts a piece.
 2. Pieces whose gram occurs once are done. Of the others, equal pieces become one with a
    count before anything else is shuffled.
-3. The distinct pieces of one gram are a reference shard. Shards are bounded: a gram with
-   more pieces is cut into single windows, dealt by content into several shards. The task
-   that holds a shard builds its suffix automaton, with the number of occurrences of every
-   substring, and streams the pieces through it: where the matching statistic reaches 35
-   words and the matched substring occurs twice, the window is a repeat.
+3. The distinct pieces of one gram are a reference shard. The task that holds a shard
+   builds its suffix automaton, with the number of occurrences of every substring, and
+   streams the pieces through it: where the matching statistic reaches 35 words and the
+   matched substring occurs twice, the window is a repeat. Shards are bounded: a gram with
+   more pieces is cut into single windows, which Spark counts by a 128-bit digest of their
+   words, so that copies of a window are added up before they travel.
 4. Each document gets its repeated windows back and drops the words that they cover.
 
 A single set of automata sent to all executors would grow with the corpus, and streaming
 every document past every shard would be quadratic; so shards and the pieces that can
-match them travel to the same task instead of being broadcast. The shards compare words,
-not hashes.
+match them travel to the same task instead of being broadcast. The automata compare
+words, not hashes.
 """
 
 from __future__ import annotations
@@ -139,35 +140,50 @@ def _pieces(window: int):
 
 
 def _contents(window: int):
-    """Words of the pieces of each document; those of a gram with several shards as
-    single windows."""
+    """Words of the pieces of each document."""
     def run(batches):
         for batch in batches:
-            rows = {k: [] for k in ("gram", "shard", "body", "at", "times", "words")}
+            rows = {k: [] for k in ("gram", "body", "times", "words")}
             for text, pieces in zip(byte_texts(batch.column(0)), batch.column(1).to_pylist()):
                 words = text.split()
                 for p in pieces:
-                    whole = p["shards"] == 1
-                    for i in range(1 if whole else p["n"]):
+                    for name, value in (
+                            ("gram", p["gram"]), ("body", p["body"]), ("times", p["times"]),
+                            ("words", b" ".join(
+                                words[p["start"]:p["start"] + p["n"] + window - 1]))):
+                        rows[name].append(value)
+                if len(rows["gram"]) >= 4096:
+                    yield _batch(rows, words=pa.binary())
+                    rows = {k: [] for k in rows}
+            yield _batch(rows, words=pa.binary())
+    return run
+
+
+def _windows(window: int):
+    """Digests of the single windows of the pieces of each document."""
+    def run(batches):
+        for batch in batches:
+            rows = {k: [] for k in ("gram", "body", "times", "at", "digest")}
+            for text, pieces in zip(byte_texts(batch.column(0)), batch.column(1).to_pylist()):
+                words = text.split()
+                for p in pieces:
+                    for i in range(p["n"]):
                         first = p["start"] + i
-                        body = b" ".join(words[first:first + (p["n"] if whole else 1) + window - 1])
                         for name, value in (
-                                ("gram", p["gram"]), ("body", p["body"]), ("at", i),
-                                ("shard", 0 if whole else
-                                 xxhash.xxh3_64_intdigest(body) % p["shards"]),
-                                ("times", p["times"]), ("words", body)):
+                                ("gram", p["gram"]), ("body", p["body"]), ("times", p["times"]),
+                                ("at", i), ("digest", xxhash.xxh3_128_digest(
+                                    b" ".join(words[first:first + window])))):
                             rows[name].append(value)
                 if len(rows["gram"]) >= 4096:
-                    yield _content_batch(rows)
+                    yield _batch(rows, at=pa.int32(), digest=pa.binary())
                     rows = {k: [] for k in rows}
-            yield _content_batch(rows)
+            yield _batch(rows, at=pa.int32(), digest=pa.binary())
     return run
 
 
-def _content_batch(rows: dict) -> pa.RecordBatch:
+def _batch(rows: dict, **more: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(rows, pa.schema([
-        ("gram", pa.int64()), ("shard", pa.int64()), ("body", pa.int64()), ("at", pa.int32()),
-        ("times", pa.int64()), ("words", pa.binary())]))
+        ("gram", pa.int64()), ("body", pa.int64()), ("times", pa.int64()), *more.items()]))
 
 
 def _shard_repeats(window: int):
@@ -177,8 +193,8 @@ def _shard_repeats(window: int):
         for words, times in zip(pieces, rows["times"]):
             automaton.add(words, times)
         automaton.finish()
-        masks = [sum(r << i for i, r in enumerate(automaton.repeated(words, window))) << at
-                 for words, at in zip(pieces, rows["at"])]
+        masks = [sum(r << i for i, r in enumerate(automaton.repeated(words, window)))
+                 for words in pieces]
         return {"gram": rows["gram"], "body": rows["body"], "mask": masks}
     return run
 
@@ -237,21 +253,34 @@ def without_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
         F.count("*").alias("times"),
         F.min(F.struct(*key, "place")).alias("at")), "classes")
     mixed = (classes.groupBy("gram").agg(F.count("*").alias("pieces")).where("pieces > 1")
-             .select("gram", F.ceil(F.col("pieces") / SHARD_PIECES).alias("shards")))
+             .select("gram", (F.col("pieces") > SHARD_PIECES).alias("hot")))
     wanted = stored(classes.join(mixed, "gram").groupBy(
-        F.col("at.doc_id").alias("in_doc"), F.col("at.text_hash").alias("in_text")).agg(
-        F.collect_list(F.struct("gram", "body", "times", "shards",
+        "hot", F.col("at.doc_id").alias("in_doc"), F.col("at.text_hash").alias("in_text")).agg(
+        F.collect_list(F.struct("gram", "body", "times",
                                 F.shiftright("at.place", 6).alias("start"),
                                 F.col("at.place").bitwiseAND(F.lit(63)).alias("n"))).alias("pieces")), "wanted")
     in_doc = [F.col("doc_id").eqNullSafe(F.col("in_doc")), F.col("text_hash") == F.col("in_text")]
-    # Rows that repeat a document hold the same pieces once.
-    holders = docs.join(small_or_shuffled(wanted.select("in_doc", "in_text"), 24), in_doc,
-                        "left_semi").dropDuplicates(key)
-    contents = holders.join(wanted, in_doc).select("text", "pieces").mapInArrow(
-        _contents(window), "gram long, shard long, body long, at int, times long, words binary")
-    masks = by_key(contents, ["gram", "shard"], _shard_repeats(window),
-                   "gram long, body long, mask long").groupBy("gram", "body").agg(
-        F.bit_or("mask").alias("mask"))
+
+    def held(pieces: DataFrame) -> DataFrame:
+        # Rows that repeat a document hold the same pieces once.
+        holders = docs.join(small_or_shuffled(pieces.select("in_doc", "in_text"), 24), in_doc,
+                            "left_semi").dropDuplicates(key)
+        return holders.join(pieces, in_doc).select("text", "pieces")
+
+    masks = by_key(held(wanted.where("not hot")).mapInArrow(
+        _contents(window), "gram long, body long, times long, words binary"),
+        ["gram"], _shard_repeats(window), "gram long, body long, mask long")
+    hot = wanted.where("hot")
+    if not hot.isEmpty():
+        single = stored(held(hot).mapInArrow(
+            _windows(window), "gram long, body long, times long, at int, digest binary"), "windows")
+        twice = stored(single.groupBy("gram", "digest").agg(F.sum("times").alias("n"))
+                       .where("n > 1").select("gram", "digest"), "twice")
+        # A piece without a repeated window needs its mask of 0 too.
+        masks = masks.unionByName(
+            single.join(twice.withColumn("found", F.lit(1).cast("long")), ["gram", "digest"], "left")
+            .groupBy("gram", "body").agg(F.bit_or(F.expr(
+                "shiftleft(coalesce(found, 0L), at)")).alias("mask")))
     all_ones = F.expr("shiftleft(1L, int(place & 63)) - 1")
     whole = classes.join(masks, ["gram", "body"], "left").select(
         "gram", "body", F.when(F.col("mask").isNull(), F.lit(-1)).otherwise(F.col("mask"))

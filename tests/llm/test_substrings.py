@@ -66,3 +66,20 @@ def test_edge_rows(spark):
             (6, "one", "", 0), (7, tail, "", 0), (7, tail, "", 0)]
     assert found(spark, rows) == brute(rows)
     assert found(spark, []) == []
+
+
+def test_copies_of_a_window_do_not_meet_as_rows(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "SHARD_PIECES", 10)
+    largest, by_key = [], substrings.by_key
+
+    def watched(df, keys, *rest):
+        largest.extend(r["count"] for r in df.groupBy(*keys).count().collect())
+        return by_key(df, keys, *rest)
+
+    monkeypatch.setattr(substrings, "by_key", watched)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(f"a{i}_{j}" for j in range(40)) + f" {passage} "
+             + " ".join(f"b{i}_{j}" for j in range(40)), "", 0) for i in range(80)]
+    rows += corpus(4, 20, 3000)
+    assert found(spark, rows) == brute(rows)
+    assert largest and max(largest) <= 10
