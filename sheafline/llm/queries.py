@@ -16,6 +16,7 @@ from sheafline.llm.neighbour_graph import nearest
 from sheafline.llm.quality import fit_quality, score_quality
 from sheafline.llm.sampling import per_label, remainder
 from sheafline.llm.substrings import without_repeats
+from sheafline.llm.suffixes import without_repeated_bytes
 from sheafline.llm.toxicity import fit_toxicity, score_toxicity
 from sheafline.llm.warc import captures, read_archives, write_archives
 from sheafline.session import scratch_path, stored
@@ -229,3 +230,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many tokens as there are, drawn from flattened sources."""
     docs = table(spark, sf_dir, "documents").withColumn("source", F.coalesce("source", F.lit("")))
     return mix(docs, ["doc_id", "source"])
+
+
+@query("op11_suffix_array_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes inside strings of 200 bytes that start elsewhere too."""
+    return without_repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
