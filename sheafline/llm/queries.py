@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafline.llm.decontaminate import contamination
+from sheafline.llm.divergence import source_divergence
 from sheafline.llm.language import fit_languages, identify
 from sheafline.llm.lines import without_repeated_lines
 from sheafline.llm.minhash import near_duplicates
@@ -236,3 +237,51 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes inside strings of 200 bytes that start elsewhere too."""
     return without_repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op13_source_divergence", r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+found AS (
+  SELECT row, lang, source, term, count(*) AS n
+  FROM (SELECT row, lang, source, unnest(terms) AS term FROM docs) GROUP BY ALL),
+kept AS (
+  SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n
+  FROM found GROUP BY lang, term HAVING count(*) >= 3),
+langs AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(n) AS total FROM kept GROUP BY lang),
+counts AS (
+  SELECT lang, source, term, CAST(sum(found.n) AS HUGEINT) AS n
+  FROM found JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (
+  SELECT lang, source, coalesce(sum(n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN counts USING (lang, source)
+  GROUP BY lang, source),
+priced AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + 1000000000 * (coalesce(c.n, 0) + 1) // (g.total + l.v) AS p,
+         1 + 1000000000 * (k.n + 1) // (l.total + l.v) AS q
+  FROM groups g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item,
+         sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL),
+ranked AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM priced WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part
+                                   ORDER BY value DESC, encode(item)) AS rank FROM ranked)
+WHERE part = 'pair' OR rank <= 200
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each source is from the others of its language, and its own terms."""
+    return source_divergence(table(spark, sf_dir, "documents"))
