@@ -20,6 +20,7 @@ from sheafline.llm.substrings import without_repeats
 from sheafline.llm.suffixes import without_repeated_bytes
 from sheafline.llm.toxicity import fit_toxicity, score_toxicity
 from sheafline.llm.warc import captures, read_archives, write_archives
+from sheafline.llm.whitening import whitened
 from sheafline.session import scratch_path, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -285,3 +286,11 @@ WHERE part = 'pair' OR rank <= 200
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far each source is from the others of its language, and its own terms."""
     return source_divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight whitened components of every vector. A deviation beyond 64 bits is null here;
+    the operator has it as a decimal."""
+    return whitened(table(spark, sf_dir, "embeddings")).withColumn(
+        "deviation", F.expr("try_cast(deviation AS bigint)"))

@@ -20,7 +20,7 @@ def duck():
 def test_all_are_registered():
     names = set(driver.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 12)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", list(SQL))
