@@ -16,7 +16,7 @@ from sheafline.operators.recursive import recursive_chunks
 from sheafline.operators.retrieval import build_vector_table
 from sheafline.plans.batch_qa import ask
 from sheafline.plans.company_ingest import company_ingest, with_chunk_key
-from sheafline.session import scratch_path, stored
+from sheafline.session import scratch_path
 from sheafline.sources.filings import sections_view
 from sheafline.sources.sinks import read_results_json, result_records, write_results_json
 
@@ -73,12 +73,12 @@ def _last_result_per_query(spark, sf_dir):
 def _batch(spark, sf_dir):
     """All benchmark texts as questions over the chunks of all documents."""
     sections = sections_view(documents_table(spark, sf_dir))
-    chunks = stored(with_chunk_key(recursive_chunks(sections, size=2000, overlap=200),
-                                   ("doc_id", "year", "section_number")), "chunks")
+    chunks = with_chunk_key(recursive_chunks(sections, size=2000, overlap=200),
+                            ("doc_id", "year", "section_number"))
     vectors, encoder = build_vector_table(chunks)
     questions = table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query"))
-    return ask(questions, stored(vectors, "vectors"), encoder, 2020, measure_prompts)
+    return ask(questions, vectors, encoder, 2020, measure_prompts)
 
 
 @query("batch_qa")

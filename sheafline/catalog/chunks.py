@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from sheafline.catalog.base import documents_table, query, r6
 from sheafline.catalog.filings import FILINGS_SQL, SECTIONS_SQL, filings
 from sheafline.functions.text import section_name, token_count
-from sheafline.operators.chunk_plan import attach_plan, chunk_plan, section_token_stats
+from sheafline.operators.chunk_plan import (
+    attach_plan, chunk_plan, merged_token_stats, section_token_state, section_token_stats,
+)
 from sheafline.operators.metrics import count_by, observed
 from sheafline.operators.recursive import (
     chunk_records, recursive_chunks, split_sections, with_recursive_chunks,
@@ -15,7 +17,9 @@ from sheafline.operators.recursive import (
 from sheafline.operators.sections import unpivot_sections
 from sheafline.operators.word_windows import word_chunks
 from sheafline.plans.company_ingest import company_chunks, plan_and_split
+from sheafline.session import scratch_path
 from sheafline.sources.filings import sections_view
+from sheafline.sources.stores import PartitionedStore
 
 WORDS_SQL = r"list_filter(string_split_regex({text}, '\s+'), lambda w: w <> '')"
 
@@ -137,6 +141,17 @@ def _plan(spark, sf_dir, limit):
     return chunk_plan(section_token_stats(sections_view(documents_table(spark, sf_dir))), limit)
 
 
+@query("chunk_plan_merged", plan_sql(STATS_SQL, 4000))
+def _chunk_plan_merged(spark, sf_dir):
+    """The plan from stored states: one year after another, the second one twice."""
+    sections = sections_view(documents_table(spark, sf_dir))
+    store = PartitionedStore(spark, scratch_path(spark, "token-state"))
+    for year in ("2018", "2019", "2020", "2019"):
+        store.replace(section_token_state(sections.where(F.col("year") == year)))
+    return chunk_plan(merged_token_stats(store.read()), 4000).withColumns(
+        {c: r6(c) for c in ("mean_tokens", "std_dev_tokens")})
+
+
 @query("chunk_plan", plan_sql(STATS_SQL, 4000))
 def _chunk_plan(spark, sf_dir):
     return _plan(spark, sf_dir, 4000).withColumns({c: r6(c) for c in ("mean_tokens", "std_dev_tokens")})

@@ -36,10 +36,34 @@ def _scaled(spark, sf_dir):
     return standardize(_vectors(spark, sf_dir), "embedding")[0]
 
 
-@query("embed_text")
+def weights_sql(chunks: str, ids: str, text: str, dimensions: int) -> str:
+    """Bucket weights of the words of every chunk: counts times rarity, of unit length.
+    ``chunks`` has the columns ``ids`` and ``text``; chunks without words have no rows."""
+    return rf"""
+WITH chunks AS ({chunks}),
+words AS (
+  SELECT {ids}, unnest(list_filter(string_split_regex(lower({text}), '\s+'), lambda w: w <> '')) AS word
+  FROM chunks),
+counts AS (
+  SELECT {ids}, CAST(('0x' || substr(md5(word), 1, 8)) AS BIGINT) % {dimensions} AS bucket, count(*) AS n
+  FROM words GROUP BY ALL),
+rarity AS (
+  SELECT bucket, ln((any_value(total) + 1) / (count(*) + 1)) AS idf
+  FROM counts, (SELECT count(*) AS total FROM chunks) GROUP BY bucket),
+weights AS (SELECT {ids}, bucket, n * idf AS w FROM counts JOIN rarity USING (bucket)),
+lengths AS (SELECT {ids}, sqrt(sum(w * w)) AS length FROM weights GROUP BY ALL)
+SELECT {ids}, bucket, CASE WHEN length > 0 THEN w / length ELSE 0 END AS w
+FROM weights JOIN lengths USING ({ids})"""
+
+
+@query("embed_text", f"""
+SELECT doc_id, chunk_id, CAST(bucket AS INTEGER) AS bucket, round(w, 6) AS weight
+FROM ({weights_sql(DOC_CHUNKS_SQL, "doc_id, chunk_id", "chunk_text", 256)}) WHERE round(w, 6) > 0""")
 def _embed_text(spark, sf_dir):
-    embedded = embedded_documents(spark, sf_dir)
-    return embedded.select("doc_id", "chunk_id", vector_to_array("embeddings", "float32").alias("embedding"))
+    """The buckets of every chunk that weigh something."""
+    cells = embedded_documents(spark, sf_dir).select(
+        "doc_id", "chunk_id", F.posexplode(vector_to_array("embeddings")).alias("bucket", "w"))
+    return cells.withColumn("weight", r6("w")).where("weight > 0").drop("w")
 
 
 @query("embed_text_norms", f"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sheafline.catalog.base import query, r6, table
 from sheafline.catalog.chunks import COMPANY_CHUNKS_SQL
 from sheafline.catalog.filings import filings
+from sheafline.catalog.maps import weights_sql
 from sheafline.functions.vectors import as_array
 from sheafline.operators.answering import DEFAULT_TEMPLATE, render_prompts
 from sheafline.operators.neighbors import nearest, nearest_by_hash
@@ -18,6 +19,7 @@ from sheafline.session import scratch_path, stored
 from sheafline.sources.sinks import (
     read_results_json, read_vector_table, result_records, write_results_json, write_vector_table,
 )
+from sheafline.sources.stores import PartitionedStore
 
 # Every vector of the given table is one chunk of the vector table, with the text of the
 # document of the same number where there is one. Those with the number of a benchmark item
@@ -224,6 +226,41 @@ def _json_results_roundtrip(spark, sf_dir):
         r6(F.aggregate("chunks", F.lit(0.0), lambda a, c: a + c["score"])).alias("scores"))
 
 
+@query("vector_table_grown", f"""
+SELECT chunk_key, "year", section_number, chunk_number, md5(text) AS text_md5,
+       round(list_sum(e), 6) + 0.0 AS vector_sum FROM ({CHUNKS_SQL})""")
+def _vector_table_grown(spark, sf_dir):
+    """Chunks added in three parts that overlap, and one of them twice."""
+    store = PartitionedStore(spark, scratch_path(spark, "vector-table"))
+    chunks = vector_chunks(spark, sf_dir)
+    for part in ("chunk_key % 4 <> 1", "year <> '2019'", "year = '2019'", "year = '2019'"):
+        only = F.col("year") == "2019" if part.startswith("year =") else None
+        store.add(chunks.where(part), "chunk_key", only)
+    total = F.aggregate(F.col("embeddings").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
+    return store.read().select(
+        "chunk_key", "year", "section_number", "chunk_number", F.md5("text").alias("text_md5"),
+        r6(total).alias("vector_sum"))
+
+
+COMPANY_VECTORS_SQL = weights_sql(COMPANY_CHUNKS_SQL, "chunk_key", "text", 256)
+
+
+@query("company_ingest_grown", f"""
+SELECT chunk_key, doc_id, "year", section_number, chunk_number, md5(text) AS text_md5,
+       round(coalesce(total, 0), 4) + 0.0 AS vector_sum
+FROM ({COMPANY_CHUNKS_SQL}) LEFT JOIN (
+  SELECT chunk_key, sum(w) AS total FROM ({COMPANY_VECTORS_SQL}) GROUP BY chunk_key) USING (chunk_key)""")
+def _company_ingest_grown(spark, sf_dir):
+    """One year after another into the same table, the second one twice."""
+    path = scratch_path(spark, "company")
+    for year in ("2018", "2019", "2020", "2019"):
+        grown, _ = company_ingest(filings(spark, sf_dir, heavy=True), [year], "src3", path, filing_id="doc_id")
+    vector = as_array(grown, "embeddings")
+    return grown.select(
+        "chunk_key", "doc_id", "year", "section_number", "chunk_number", F.md5("text").alias("text_md5"),
+        (F.round(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x), 4) + F.lit(0.0)).alias("vector_sum"))
+
+
 @query("company_ingest", f"""
 SELECT doc_id, "year", section_number, chunk_number, chunk_key, text, 256 AS n_dimensions,
        CASE WHEN trim(text, chr(10) || ' ') = '' THEN 0.0 ELSE 1.0 END::DOUBLE AS norm

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,36 @@ def section_token_stats(sections: DataFrame, section_col: str = "section_number"
     )
 
 
+def section_token_state(sections: DataFrame, by: Sequence[str] = ("year",), section_col: str = "section_number",
+                        text_col: str = "section_text") -> DataFrame:
+    """What the statistics of a section are made of, per section and value of ``by``: number
+    of texts, sum and sum of squares of their token counts, and the largest.
+
+    All are whole numbers, so that states of several years can be kept and merged in any
+    order without a difference in the last digit.
+    """
+    counted = sections.select(section_col, *by, token_count(F.col(text_col)).cast("long").alias("tokens"))
+    return counted.groupBy(section_col, *by).agg(
+        F.count("tokens").alias("n_texts"), F.sum("tokens").alias("tokens"),
+        F.sum((F.col("tokens") * F.col("tokens")).cast("decimal(38,0)")).alias("squares"),
+        F.max("tokens").cast("int").alias("max_tokens"))
+
+
+def merged_token_stats(state: DataFrame, section_col: str = "section_number") -> DataFrame:
+    """The statistics of :func:`section_token_stats` from the states of any years."""
+    whole = state.groupBy(section_col).agg(
+        F.max("max_tokens").alias("max_tokens"), F.sum("n_texts").alias("n"),
+        F.sum("tokens").alias("tokens"), F.sum("squares").cast("decimal(38,0)").alias("squares"))
+    n = F.col("n").cast("decimal(19,0)")
+    apart = (n * F.col("squares")).cast("decimal(38,0)") - (
+        F.col("tokens").cast("decimal(19,0)") * F.col("tokens").cast("decimal(19,0)"))
+    pairs = F.col("n").cast("double") * (F.col("n") - 1)
+    return whole.select(
+        section_col, "max_tokens",
+        F.try_divide(F.col("tokens").cast("double"), F.col("n")).alias("mean_tokens"),
+        F.when(pairs > 0, F.sqrt(apart.cast("double") / pairs)).otherwise(F.lit(0.0)).alias("std_dev_tokens"))
+
+
 def check_window(limit: int, ratio: float) -> int:
     """Overlap in units of the limit; refuses values that never move forward."""
     if limit < 1 or not 0 <= ratio < 1:

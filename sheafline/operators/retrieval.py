@@ -19,8 +19,7 @@ METADATA = ("year", "section_number", "chunk_number")
 def build_vector_table(chunks: DataFrame, encoder=None, text_col: str = "text",
                        out_col: str = "embeddings") -> tuple[DataFrame, object]:
     """Chunks with their vectors, and the fitted encoder the questions need."""
-    fitted = (encoder or HashingEncoder()).fit(chunks, text_col)
-    return fitted.transform(chunks, text_col, out_col), fitted
+    return (encoder or HashingEncoder()).embed(chunks, text_col, out_col)
 
 
 def broadcast_if_small(rows: DataFrame) -> DataFrame:

@@ -23,9 +23,9 @@ def document_map(filings: DataFrame, *, max_filings: int | None = None, limit: i
 
     One row per chunk with ``ids`` (by default all columns of the filings that are no
     sections), its section, components, cluster, distance and outlier flag.
-    ``max_filings`` keeps the first filings by ``order`` and then by content. The embedded chunks
-    are stored once, because three fits and the result read them; without their text,
-    unless ``keep_text`` asks for it, so the corpus is not written a second time.
+    ``max_filings`` keeps the first filings by ``order`` and then by content. Texts are read
+    once, for their sparse counts; the vectors made from these are stored, because three
+    fits and the result read them. Texts are not written again unless ``keep_text`` asks.
     ``keep_vectors`` adds the vectors to the result.
     """
     filings = with_company(filings)
@@ -34,8 +34,6 @@ def document_map(filings: DataFrame, *, max_filings: int | None = None, limit: i
     sections = set(section_columns(filings))
     ids = [c for c in filings.columns if c not in sections] if ids is None else list(ids)
     chunks = word_chunks(unpivot_sections(filings, ids), limit=limit, ratio=ratio)
-    embedded = embed_text(chunks, "chunk_text", encoder)
-    if not keep_text:
-        embedded = embedded.drop("chunk_text")
+    embedded = embed_text(chunks, "chunk_text", encoder, keep_text=keep_text)
     return map_points(stored(embedded, "embedded-chunks"), n_components, n_clusters, seed,
                       keep_vectors=keep_vectors, key=[*ids, "section", "chunk_id"])
