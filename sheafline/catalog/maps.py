@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseMatrix
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from sheafline.catalog.base import documents_table, query, r6, table
 from sheafline.catalog.chunks import SECTION_CHUNKS_SQL, word_chunks_sql
 from sheafline.catalog.filings import filings
+from sheafline.functions.text import section_number
 from sheafline.functions.vectors import as_array, components, euclidean
 from sheafline.operators.encode import HashingEncoder, embed_text
 from sheafline.operators.mapping import (
-    SCATTER_VIEWS, cluster, count_outliers, distance_to_center, flag_outliers, map_points, plot_table,
-    project, scatter_bins, standardize, with_vector,
+    SCATTER_VIEWS, Projection, cluster, count_outliers, distance_to_center, flag_outliers, map_points,
+    plot_table, project, scatter_bins, standardize, wide_components, with_vector,
 )
 from sheafline.operators.word_windows import word_chunks
 from sheafline.plans.document_map import document_map
@@ -90,10 +92,115 @@ def _standard_scale(spark, sf_dir):
     return cells.select("vec_id", (F.col("pos") + 1).alias("dim"), r6("x").alias("scaled"))
 
 
-@query("pca_project")
+CELLS_SQL = """
+SELECT vec_id, unnest(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS x,
+       generate_subscripts(embedding, 1) AS dim FROM embeddings"""
+
+
+def _times(matrix: str, column: str) -> str:
+    return f"list_transform({matrix}, lambda r: list_dot_product(r, {column}))"
+
+
+def _direction_sql(name: str, matrix: str, start: int) -> str:
+    """The eigenvector of the largest eigenvalue: steps with the eighth power of the matrix,
+    kept in scale, then turned so that its largest entry is positive."""
+    squared = "list_transform({0}, lambda r: list_transform({0}, lambda s: list_dot_product(r, s) / {1}))"
+    size = "list_sum(list_transform({0}, lambda r, i: r[i]))"
+    return f"""
+{name}_2 AS MATERIALIZED (SELECT {squared.format("m", size.format("m"))} AS m FROM {matrix}),
+{name}_4 AS MATERIALIZED (SELECT {squared.format("m", size.format("m"))} AS m FROM {name}_2),
+{name}_8 AS MATERIALIZED (SELECT {squared.format("m", size.format("m"))} AS m FROM {name}_4),
+{name}_steps AS (
+  SELECT 0 AS step, list_transform(m, lambda r: 1.0 + r[{start}]) AS v FROM {matrix}
+  UNION ALL
+  SELECT step + 1, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w)))
+  FROM (SELECT step, {_times("m", "v")} AS w FROM {name}_steps, {name}_8) WHERE step < 600),
+{name} AS MATERIALIZED (
+  SELECT list_transform(v, lambda x: x * CASE WHEN
+           v[list_position(list_transform(v, lambda y: abs(y)), list_max(list_transform(v, lambda y: abs(y))))]
+           < 0 THEN -1 ELSE 1 END) AS v
+  FROM {name}_steps WHERE step = 600)"""
+
+
+def pca_sql(cells: str, ids: str) -> str:
+    """WITH clauses up to ``points`` (ids, pc1, pc2) from ``cells`` (ids, dim, x)."""
+    return f"""
+WITH RECURSIVE cells AS MATERIALIZED ({cells}),
+moments AS (SELECT dim, avg(x) AS mu, stddev_samp(x) AS sd FROM cells GROUP BY dim),
+scaled AS MATERIALIZED (
+  SELECT {ids}, dim, CASE WHEN sd > 0 THEN (x - mu) / sd ELSE 0 END AS z
+  FROM cells JOIN moments USING (dim)),
+columns AS MATERIALIZED (SELECT dim, list(z ORDER BY {ids}) AS zs FROM scaled GROUP BY dim),
+matrix AS MATERIALIZED (SELECT list(r ORDER BY i) AS m FROM (
+  SELECT a.dim AS i, list(list_dot_product(a.zs, b.zs) / (len(a.zs) - 1) ORDER BY b.dim) AS r
+  FROM columns a, columns b GROUP BY a.dim)),
+{_direction_sql("first", "matrix", 1)},
+variance AS MATERIALIZED (SELECT list_dot_product(v, {_times("m", "v")}) AS l FROM first, matrix),
+rest AS MATERIALIZED (
+  SELECT list_transform(m, lambda r, i: list_transform(r, lambda x, j: x - l * v[i] * v[j])) AS m
+  FROM matrix, first, variance),
+{_direction_sql("second", "rest", 2)},
+points AS MATERIALIZED (
+  SELECT {ids}, sum(z * first.v[dim]) AS pc1, sum(z * second.v[dim]) AS pc2
+  FROM scaled, first, second GROUP BY ALL)"""
+
+
+def map_sql(cells: str, ids: str) -> str:
+    """``clustered`` (ids, pc1, pc2, cluster, d) in addition: Lloyd steps on the points."""
+    nearest = """list_transform(cs, lambda c: (p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y))"""
+    return f"""{pca_sql(cells, ids)},
+held AS MATERIALIZED (
+  SELECT list({{'x': pc1, 'y': pc2}} ORDER BY {ids}) AS ps, avg(pc1) AS mx, avg(pc2) AS my,
+         stddev_pop(pc1) AS sx, stddev_pop(pc2) AS sy FROM points),
+lloyd AS (
+  SELECT 0 AS step, list_transform(range(1, 6), lambda i: {{
+    'x': mx + 1.5 * sx * (2 * ((i * 0.75487766624669276) % 1) - 1),
+    'y': my + 1.5 * sy * (2 * ((i * 0.56984029099805326) % 1) - 1)}}) AS cs FROM held
+  UNION ALL
+  SELECT step + 1, list_transform(cs, lambda c, i: CASE
+    WHEN len(list_filter(a, lambda q: q.c = i)) = 0 THEN c ELSE {{
+      'x': list_avg(list_transform(list_filter(a, lambda q: q.c = i), lambda q: q.x)),
+      'y': list_avg(list_transform(list_filter(a, lambda q: q.c = i), lambda q: q.y))}} END)
+  FROM (SELECT step, cs, list_transform(ps, lambda p: {{'x': p.x, 'y': p.y,
+          'c': list_position({nearest}, list_min({nearest}))}}) AS a FROM lloyd, held)
+  WHERE step < 100),
+clustered AS MATERIALIZED (
+  SELECT {ids}, pc1, pc2, CAST(list_position(gaps, list_min(gaps)) - 1 AS INTEGER) AS cluster,
+         sqrt(list_min(gaps)) AS d
+  FROM (SELECT *, {nearest.replace("p.x", "pc1").replace("p.y", "pc2")} AS gaps
+        FROM points, lloyd WHERE step = 100))"""
+
+
+FLAG_SQL = "CAST(d > (SELECT avg(d) + 2 * stddev_pop(d) FROM clustered) AS INTEGER)"
+
+
+def r4(value):
+    """Four decimals, without a negative zero."""
+    return F.round(value, 4) + F.lit(0.0)
+
+
+def _pcs():
+    return [r4(c).alias(n) for n, c in zip(("PC1", "PC2"), components(
+        vector_to_array("pca_features"), ["PC1", "PC2"]))]
+
+
+@query("pca_project", f"""{pca_sql(CELLS_SQL, "vec_id")}
+SELECT vec_id, round(pc1, 4) + 0.0 AS "PC1", round(pc2, 4) + 0.0 AS "PC2" FROM points""")
 def _pca_project(spark, sf_dir):
     projected, _ = project(_scaled(spark, sf_dir))
-    return projected.select("vec_id", *components(vector_to_array("pca_features"), ["PC1", "PC2"]))
+    return projected.select("vec_id", *_pcs())
+
+
+@query("pca_project_wide", f"""{pca_sql(CELLS_SQL, "vec_id")}
+SELECT vec_id, round(pc1, 3) + 0.0 AS "PC1", round(pc2, 3) + 0.0 AS "PC2" FROM points""")
+def _pca_project_wide(spark, sf_dir):
+    """The form for vectors whose covariance does not fit the driver."""
+    scaled = stored(_scaled(spark, sf_dir).select("vec_id", "scaled_embeddings"), "scaled")
+    loadings = wide_components(scaled, 2, "scaled_embeddings", extra=30, tolerance=1e-13)
+    model = Projection(DenseMatrix(*loadings.shape, loadings.ravel("F")), "scaled_embeddings", "pca_features")
+    return model.transform(scaled).select("vec_id", *(
+        (F.round(c, 3) + F.lit(0.0)).alias(n) for n, c in zip(("PC1", "PC2"), components(
+            vector_to_array("pca_features"), ["PC1", "PC2"]))))
 
 
 @query("pca_eigen_residuals", """
@@ -161,13 +268,14 @@ def _pca_largest_variances(spark, sf_dir):
 
 def _clustered(spark, sf_dir):
     projected, _ = project(_scaled(spark, sf_dir))
-    return cluster(projected)
+    return cluster(stored(projected.select("vec_id", "pca_features"), "projected"))
 
 
-@query("kmeans_cluster")
+@query("kmeans_cluster", f"""{map_sql(CELLS_SQL, "vec_id")}
+SELECT vec_id, round(pc1, 4) + 0.0 AS "PC1", round(pc2, 4) + 0.0 AS "PC2", cluster FROM clustered""")
 def _kmeans_cluster(spark, sf_dir):
     points, _ = _clustered(spark, sf_dir)
-    return points.select("vec_id", *components(vector_to_array("pca_features"), ["PC1", "PC2"]), "cluster")
+    return points.select("vec_id", *_pcs(), "cluster")
 
 
 @query("kmeans_nearest_center", """
@@ -267,17 +375,33 @@ def _csv_roundtrip(spark, sf_dir):
     return read_plot_csv(spark, path)
 
 
-@query("process_embeddings")
+@query("process_embeddings", f"""{map_sql(CELLS_SQL, "vec_id")}
+SELECT vec_id, round(pc1, 4) + 0.0 AS "PC1", round(pc2, 4) + 0.0 AS "PC2", cluster,
+       round(d, 4) + 0.0 AS distance_to_center, {FLAG_SQL} AS is_outlier FROM clustered""")
 def _process_embeddings(spark, sf_dir):
     points, _ = map_points(_vectors(spark, sf_dir).withColumnRenamed("embedding", "embeddings"))
-    return points.select("vec_id", *components(vector_to_array("pca_features"), ["PC1", "PC2"]),
-                         "cluster", "distance_to_center", "is_outlier")
+    return points.select("vec_id", *_pcs(), "cluster", r4("distance_to_center").alias("distance_to_center"),
+                         "is_outlier")
+
+
+# Every bucket of every chunk, 0 where the chunk has no word of it.
+MAP_CELLS_SQL = f"""
+SELECT doc_id, section, chunk_id, dim, coalesce(w, 0) AS x
+FROM (SELECT doc_id, section, chunk_id, unnest(range(1, 257)) AS dim
+      FROM ({SECTION_CHUNKS_SQL}) WHERE cik IS NOT NULL)
+LEFT JOIN (SELECT doc_id, section, chunk_id, bucket + 1 AS dim, w FROM ({weights_sql(
+    f"SELECT * FROM ({SECTION_CHUNKS_SQL}) WHERE cik IS NOT NULL",
+    "doc_id, section, chunk_id", "chunk_text", 256)})) USING (doc_id, section, chunk_id, dim)"""
 
 
-@query("document_map")
+@query("document_map", f"""{map_sql(MAP_CELLS_SQL, "doc_id, section, chunk_id")}
+SELECT doc_id, chunk_id, round(pc1, 4) + 0.0 AS "PC1", round(pc2, 4) + 0.0 AS "PC2", cluster AS "Cluster",
+       {FLAG_SQL} AS "Is_Outlier", replace(section, 'section_', '') AS "Section" FROM clustered""")
 def _document_map(spark, sf_dir):
     points, _ = document_map(filings(spark, sf_dir, heavy=True))
-    return plot_table(points)
+    return points.select(
+        "doc_id", "chunk_id", *_pcs(), F.col("cluster").alias("Cluster"),
+        F.col("is_outlier").alias("Is_Outlier"), section_number(F.col("section")).alias("Section"))
 
 
 @query("document_map_sections", f"""

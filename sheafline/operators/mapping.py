@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel
+import numpy as np
+import pyarrow as pa
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, StandardScalerModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import DenseMatrix, Vectors, VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
 
 from sheafline.functions.text import section_number
 from sheafline.functions.vectors import as_array, components, euclidean
@@ -19,8 +21,8 @@ from sheafline.session import stored
 
 # Centres that are broadcast at most, in bytes.
 MAX_BROADCAST_BYTES = 64 * 2**20
-# Points of one partition of a fit.
-LAYOUT_ROWS = 100_000
+# Vectors of more dimensions are projected without a covariance matrix on the driver.
+WIDE = 2048
 
 
 def with_vector(df: DataFrame, column: str) -> DataFrame:
@@ -38,31 +40,180 @@ def standardize(df: DataFrame, input_col: str = "embeddings",
     return model.transform(df), model
 
 
+def signed(loadings: np.ndarray) -> np.ndarray:
+    """Turn each column so that its largest entry, the first of several, is positive."""
+    largest = loadings[np.abs(loadings).argmax(axis=0), np.arange(loadings.shape[1])]
+    return loadings * np.where(largest < 0, -1.0, 1.0)
+
+
+@dataclass(frozen=True)
+class Projection:
+    """Principal directions, one column each, as ``pc``; the transform does not centre."""
+
+    pc: DenseMatrix
+    input_col: str
+    output_col: str
+    stages: PipelineModel | None = None
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        if self.stages is not None:
+            return self.stages.transform(df).drop("__pca")
+        loadings = self.pc.toArray()
+
+        def multiply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for vectors in batches:
+                scores = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(loadings)) @ loadings
+                ends = np.arange(len(vectors) + 1, dtype=np.int32) * scores.shape[1]
+                yield pa.ListArray.from_arrays(pa.array(ends), pa.array(scores.ravel()))
+
+        product = F.arrow_udf(multiply, "array<double>")
+        return df.withColumn(self.output_col, array_to_vector(product(as_array(df, self.input_col))))
+
+
 def project(df: DataFrame, k: int = 2, input_col: str = "scaled_embeddings",
-            output_col: str = "pca_features") -> tuple[DataFrame, PCAModel]:
-    """Principal components of standardized vectors (the transform does not centre)."""
-    model = PCA(k=k, inputCol=input_col, outputCol=output_col).fit(df)
+            output_col: str = "pca_features") -> tuple[DataFrame, Projection]:
+    """Principal components of standardized vectors, with a fixed sign.
+
+    Up to WIDE dimensions MLlib decomposes their covariance on the driver, beyond it
+    :func:`wide_components` finds the directions without such a matrix.
+    """
+    df = with_vector(df, input_col)
+    width = len((df.select(input_col).first() or [[]])[0])
+    if width > WIDE:
+        model = Projection(DenseMatrix(width, k, wide_components(df, k, input_col).ravel("F")), input_col, output_col)
+        return model.transform(df), model
+    pca = PCA(k=k, inputCol=input_col, outputCol="__pca").fit(df)
+    loadings = pca.pc.toArray()
+    turned = signed(loadings)
+    signs = np.where((turned == loadings).all(axis=0), 1.0, -1.0)
+    turn = ElementwiseProduct(scalingVec=Vectors.dense(signs), inputCol="__pca", outputCol=output_col)
+    model = Projection(DenseMatrix(*turned.shape, turned.ravel("F")), input_col, output_col,
+                       PipelineModel([pca, turn]))
     return model.transform(df), model
 
 
-def stable_layout(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The same rows in the same partitions and order, whatever machine or split they came
-    from: dealt by a hash of ``key`` into a number of partitions that follows from the
-    number of rows, and sorted by it. Rows with equal keys should be equal."""
-    parts = df.count() // LAYOUT_ROWS + 1
-    text = [F.col(c).cast("string") for c in key]
-    return df.repartition(parts, F.xxhash64(*text)).sortWithinPartitions(*text)
+def wide_components(df: DataFrame, k: int, input_col: str, extra: int = 10, rounds: int = 40,
+                    tolerance: float = 1e-10, seed: int = 7) -> np.ndarray:
+    """The leading directions of the covariance of wide vectors, by a random range finder.
+
+    A block of k + ``extra`` random directions is multiplied by the covariance again and
+    again: every round is one pass, in which each partition adds up its d x (k + extra)
+    share, and Spark adds the shares. The driver holds blocks of that size, never d x d
+    numbers. It ends when the k variances settle, or after ``rounds``.
+    """
+    vectors = df.select(as_array(df, input_col).alias("v")).where("v is not null")
+    n, width = vectors.agg(F.count("*"), F.max(F.size("v"))).first()
+    if not n:
+        raise ValueError("no vectors")
+    size = min(width, k + extra)
+
+    def total(of, columns: int) -> np.ndarray:
+        names = [f"c{j}" for j in range(columns)]
+
+        def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = np.zeros((width, columns))
+            for b in batches:
+                held += of(b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(width, dtype=np.int32)), *map(pa.array, held.T)], names=["i", *names])
+
+        shares = vectors.mapInArrow(share, ", ".join(["i int", *(f"{c} double" for c in names)]))
+        rows = shares.groupBy("i").agg(*(F.sum(c).alias(c) for c in names)).orderBy("i").toPandas()
+        return rows[names].to_numpy()
+
+    mean = total(lambda x: x.sum(axis=0)[:, None], 1)[:, 0] / n
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, size)))[0]
+    before = None
+    for _ in range(rounds):
+        image = total(lambda x, q=basis: (x - mean).T @ ((x - mean) @ q), size) / max(n - 1, 1)
+        values, turn = np.linalg.eigh(basis.T @ image)
+        found = (basis @ turn)[:, ::-1][:, :k]
+        now = values[::-1][:k]
+        if before is not None and np.abs(now - before).max() <= tolerance * max(np.abs(now).max(), 1e-300):
+            break
+        before, basis = now, np.linalg.qr(image)[0]
+    return signed(found)
+
+
+def spread_start(means: Sequence[float], deviations: Sequence[float], k: int) -> np.ndarray:
+    """k places spread evenly over 1.5 deviations around the mean: multiples, modulo 1, of
+    the powers of one irrational number."""
+    d = len(means)
+    root = 2.0
+    for _ in range(80):
+        root = (1 + root) ** (1 / (d + 1))
+    steps = root ** -np.arange(1, d + 1)
+    share = (np.arange(1, k + 1)[:, None] * steps) % 1
+    return np.array(means) + 1.5 * np.array(deviations) * (2 * share - 1)
+
+
+@dataclass(frozen=True)
+class KMeansFit:
+    """Centres, and the cluster of each point: its nearest centre, the first of several."""
+
+    centers: tuple[tuple[float, ...], ...]
+    features_col: str
+    prediction_col: str
+
+    def clusterCenters(self) -> list[np.ndarray]:
+        return [np.array(c) for c in self.centers]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        vector = as_array(df, self.features_col)
+        return df.withColumn(self.prediction_col, self.nearest(vector))
+
+    def nearest(self, vector: Column) -> Column:
+        def gap(center):
+            squares = [(F.get(vector, F.lit(i)) - c) * (F.get(vector, F.lit(i)) - c)
+                       for i, c in enumerate(center)]
+            return reduce(lambda a, b: a + b, squares, F.lit(0.0))
+        gaps = F.array(*map(gap, self.centers))
+        place = F.array_position(gaps, F.array_min(gaps)) - 1
+        return F.when(vector.isNotNull(), place).cast("int")
+
+
+def _sums_by_center(centers: np.ndarray, names: list[str]):
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((len(centers), len(names)))
+        for b in batches:
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, centers.shape[1])
+            gaps = np.stack([((x - c) ** 2).sum(axis=1) for c in centers], axis=1)
+            for c, own in enumerate(gaps.argmin(axis=1) == np.arange(len(centers))[:, None]):
+                held[c] += [own.sum(), *x[own].sum(axis=0)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(centers), dtype=np.int32)), *map(pa.array, held.T)], names=["c", *names])
+    return share
 
 
 def cluster(df: DataFrame, k: int = 5, features_col: str = "pca_features",
-            prediction_col: str = "cluster", seed: int = 7,
-            key: Sequence[str] | None = None) -> tuple[DataFrame, KMeansModel]:
-    """k-means with a fixed seed. Its start is drawn partition by partition, so the points
-    are laid out by ``key`` first: by default all columns that are no vectors."""
-    if key is None:
-        key = [f.name for f in df.schema if not isinstance(f.dataType, (VectorUDT, ArrayType))]
-    model = KMeans(k=k, featuresCol=features_col, predictionCol=prediction_col, seed=seed).fit(
-        stable_layout(df, key) if key else df)
+            prediction_col: str = "cluster", steps: int = 100,
+            tolerance: float = 1e-9) -> tuple[DataFrame, KMeansFit]:
+    """k-means: Lloyd steps from a start that follows from mean and deviation alone.
+
+    A step is one pass in which each partition adds up its points by centre, k rows that
+    Spark adds in turn, so neither the split of the table nor the number of cores matters.
+    It ends when no centre moves by more than ``tolerance``, or after ``steps``. A centre
+    without points stays where it is. Pass stored points.
+    """
+    vector = as_array(df, features_col)
+    points = df.select(vector.alias("v")).where("v is not null")
+    d = (points.select(F.max(F.size("v"))).first() or [0])[0] or 0
+    of = [F.get("v", F.lit(i)) for i in range(d)]
+    first = points.agg(*(F.avg(c) for c in of), *(F.stddev_pop(c) for c in of)).first() if d else ()
+    centers = spread_start(first[:d], first[d:], k) if d else np.zeros((k, 0))
+    names = ["n", *(f"s{i}" for i in range(d))]
+    schema = ", ".join(["c int", *(f"{n} double" for n in names)])
+    for _ in range(steps if d else 0):
+        sums = points.mapInArrow(_sums_by_center(centers, names), schema)
+        moved = centers.copy()
+        for r in sums.groupBy("c").agg(*(F.sum(n).alias(n) for n in names)).collect():
+            if r["n"]:
+                moved[r["c"]] = [s / r["n"] for s in r[2:]]
+        settled = np.abs(moved - centers).max() <= tolerance
+        centers = moved
+        if settled:
+            break
+    model = KMeansFit(tuple(map(tuple, centers.tolist())), features_col, prediction_col)
     return model.transform(df), model
 
 
@@ -101,28 +252,26 @@ def count_outliers(points: DataFrame, flag_col: str = "is_outlier") -> DataFrame
 @dataclass(frozen=True)
 class MapModels:
     scaler: StandardScalerModel
-    pca: PCAModel
-    kmeans: KMeansModel
+    pca: Projection
+    kmeans: KMeansFit
 
 
-def map_points(embedded: DataFrame, n_components: int = 2, n_clusters: int = 5, seed: int = 7,
-               vector_col: str = "embeddings", keep_vectors: bool = False,
-               key: Sequence[str] | None = None) -> tuple[DataFrame, MapModels]:
+def map_points(embedded: DataFrame, n_components: int = 2, n_clusters: int = 5,
+               vector_col: str = "embeddings", keep_vectors: bool = False) -> tuple[DataFrame, MapModels]:
     """Scale, project, cluster, measure and flag; one row per point throughout.
 
     Pass a stored table: scaling, PCA and the projection each read the vectors once.
     The projected points are stored without their long vectors, so that k-means, the
     threshold and the result read only those; ``keep_vectors`` keeps all columns and
-    pays with two more passes over the vectors. Each fit returns numbers of the size
-    of the vector dimension or of k, never rows. ``key`` names the columns that tell points
-    apart, by default all that are no vectors; with them the clusters do not depend on
-    how the table is split.
+    pays with a pass over the vectors for every step of k-means. Each fit returns numbers
+    of the size of the vector dimension or of k, never rows, and none depends on how the
+    table is split.
     """
     scaled, scaler = standardize(embedded, vector_col)
     projected, pca = project(scaled, n_components)
     if not keep_vectors:
         projected = stored(projected.drop(vector_col, "scaled_embeddings"), "projected")
-    clustered, kmeans = cluster(projected, n_clusters, seed=seed, key=key)
+    clustered, kmeans = cluster(projected, n_clusters)
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(kmeans.clusterCenters())]
     center_rows = embedded.sparkSession.createDataFrame(centers, "cluster int, center array<double>")
     measured = distance_to_center(clustered, center_rows, max_centers=len(centers))

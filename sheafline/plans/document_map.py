@@ -16,7 +16,7 @@ from sheafline.sources.filings import first_filings, with_company
 
 def document_map(filings: DataFrame, *, max_filings: int | None = None, limit: int = 512,
                  ratio: float = 0.1, encoder=None, n_components: int = 2, n_clusters: int = 5,
-                 seed: int = 7, keep_text: bool = False, keep_vectors: bool = False,
+                 keep_text: bool = False, keep_vectors: bool = False,
                  ids: Sequence[str] | None = None,
                  order: Sequence[str] = ("cik", "year")) -> tuple[DataFrame, MapModels]:
     """Filings with a company -> sections -> word chunks -> vectors -> map.
@@ -35,5 +35,5 @@ def document_map(filings: DataFrame, *, max_filings: int | None = None, limit: i
     ids = [c for c in filings.columns if c not in sections] if ids is None else list(ids)
     chunks = word_chunks(unpivot_sections(filings, ids), limit=limit, ratio=ratio)
     embedded = embed_text(chunks, "chunk_text", encoder, keep_text=keep_text)
-    return map_points(stored(embedded, "embedded-chunks"), n_components, n_clusters, seed,
-                      keep_vectors=keep_vectors, key=[*ids, "section", "chunk_id"])
+    return map_points(stored(embedded, "embedded-chunks"), n_components, n_clusters,
+                      keep_vectors=keep_vectors)

@@ -140,3 +140,33 @@ def test_scatter_bins_are_bounded(spark):
     assert {r.bin_x for r in got} == set(range(20))
     same = spark.range(3).selectExpr("double(4) as PC1", "double(id) as PC2")
     assert {r.bin_x for r in scatter_bins(same, bins=5).collect()} == {0}
+
+
+def test_directions_have_a_fixed_sign_and_need_no_covariance(spark, points, monkeypatch):
+    scaled, _ = standardize(points)
+    projected, model = project(scaled, 2)
+    loadings = model.pc.toArray()
+    assert (loadings[np.abs(loadings).argmax(axis=0), [0, 1]] > 0).all()
+    rng = np.random.default_rng(11)
+    data = rng.normal(size=(120, 6)) @ (rng.normal(size=(6, 90)) * [[9], [7], [5], [1], [1], [1]])
+    rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)],
+                                 "i int, scaled_embeddings array<double>").repartition(4)
+    narrow, exact = project(rows, 3)
+    monkeypatch.setattr(mapping, "WIDE", 50)
+    wide, found = project(rows, 3)
+    assert np.allclose(found.pc.toArray(), exact.pc.toArray(), atol=1e-8)
+    assert np.allclose(matrix(wide, "pca_features"), matrix(narrow, "pca_features"), atol=1e-6)
+
+
+def test_lloyd_steps_by_hand(spark):
+    data = np.vstack([RNG.normal(size=(60, 3)) + c for c in ([0, 0, 0], [6, 0, 1], [0, 7, 2])])
+    rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "i int, pca_features array<double>")
+    clustered, model = cluster(rows.repartition(5), 4)
+    centers = mapping.spread_start(data.mean(0), data.std(0), 4)
+    for _ in range(100):
+        label = ((data[:, None] - centers) ** 2).sum(2).argmin(1)
+        centers = np.array([data[label == c].mean(0) if (label == c).any() else centers[c] for c in range(4)])
+    assert np.allclose(model.clusterCenters(), centers)
+    assert [r.cluster for r in clustered.orderBy("i").collect()] == label.tolist()
+    none, model = cluster(rows.where("i < 0"), 4)
+    assert none.count() == 0 and len(model.clusterCenters()) == 4
