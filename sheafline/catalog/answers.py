@@ -7,8 +7,9 @@ import json
 from pyspark.sql import functions as F
 
 from sheafline.catalog.base import documents_table, query, table
-from sheafline.catalog.chunks import FILING_CHUNKS_SQL
+from sheafline.catalog.chunks import FILING_CHUNKS_SQL, VIEW_SQL, WORDS_SQL, recursive_sql
 from sheafline.catalog.filings import filings
+from sheafline.catalog.maps import weights_sql
 from sheafline.catalog.retrieval import template_sql
 from sheafline.functions.answers import extract_answer
 from sheafline.operators.answering import apply_generator, last_per_query, render_prompts
@@ -21,6 +22,10 @@ from sheafline.sources.filings import sections_view
 from sheafline.sources.sinks import read_results_json, result_records, write_results_json
 
 
+CONTEXT_SQL = """'Chunk Metadata: ' || to_json({'year': h."year", 'section_number': h.section_number,
+  'chunk_number': h.chunk_number}) || ' ' || chr(10) || 'Content: ' || h.text"""
+
+
 def measure_prompts(prompts, **options):
     """A stand-in for a language model: answers with the length of the prompt, and
     fails on prompts whose length is a multiple of seven."""
@@ -46,6 +51,19 @@ def _answers(spark, sf_dir):
     return apply_generator(prompts, measure_prompts).drop("prompt")
 
 
+@query("answers_by_loaded_model", f"""
+SELECT query_id, CASE WHEN n % 7 <> 0 THEN '{{"answer": "' || n || ' characters, 200 tokens"}}' END AS answer,
+       CASE WHEN n % 7 = 0 THEN 'Error: cannot answer' END AS error
+FROM (SELECT conv_id * 1000 + turn AS query_id,
+             length({template_sql(year="CAST(2018 + turn % 3 AS VARCHAR)", query="text", context="role")}) AS n
+      FROM conversations)""")
+def _answers_by_loaded_model(spark, sf_dir):
+    """A model that each worker loads once, and prompts that name a year of their own."""
+    year = (F.lit(2018) + F.col("turn") % 3).cast("string")
+    prompts = render_prompts(_turns(spark, sf_dir), year, context_col="role").select("query_id", "prompt")
+    return apply_generator(prompts, load=lambda: measure_prompts).drop("prompt")
+
+
 @query("answer_extract", """
 SELECT conv_id, turn, CASE WHEN turn % 4 = 2 THEN '' WHEN role = 'user' THEN text
                            WHEN turn % 4 = 3 THEN NULL ELSE text END AS answer
@@ -81,7 +99,60 @@ def _batch(spark, sf_dir):
     return ask(questions, vectors, encoder, 2020, measure_prompts)
 
 
-@query("batch_qa")
+def found_sql(chunks: str, k: int, template: str = "") -> str:
+    """WITH clauses up to ``hits``: for every question text, the last item that asks it
+    (query_id), the chunks of 2020 among its ``k`` nearest by lexical vectors, each content
+    once, in the order ``nth``. ``chunks`` has chunk_key, text, year, section_number and
+    chunk_number."""
+    questions = "SELECT text AS query, min(item_id) AS position, max(item_id) AS query_id FROM benchmark GROUP BY text"
+    return f"""
+WITH source AS MATERIALIZED ({chunks}),
+cells AS MATERIALIZED ({weights_sql("SELECT chunk_key, text FROM source", "chunk_key", "text", 256)}),
+asked AS MATERIALIZED ({questions}),
+rarity AS (
+  SELECT bucket, ln(((SELECT count(*) FROM source) + 1) / (count(n) + 1)) AS idf
+  FROM (SELECT unnest(range(0, 256)) AS bucket) LEFT JOIN (
+    SELECT DISTINCT chunk_key AS n, CAST(('0x' || substr(md5(word), 1, 8)) AS BIGINT) % 256 AS bucket
+    FROM (SELECT chunk_key, unnest({WORDS_SQL.format(text="lower(text)")}) AS word FROM source)) USING (bucket)
+  GROUP BY bucket),
+question_words AS (
+  SELECT query_id, CAST(('0x' || substr(md5(word), 1, 8)) AS BIGINT) % 256 AS bucket, count(*) AS n
+  FROM (SELECT query_id, unnest({WORDS_SQL.format(text="lower(query)")}) AS word FROM asked) GROUP BY ALL),
+question_cells AS MATERIALIZED (
+  SELECT query_id, bucket, n * idf / nullif(sqrt(sum(n * idf * n * idf) OVER (PARTITION BY query_id)), 0) AS w
+  FROM question_words JOIN rarity USING (bucket)),
+products AS (
+  SELECT query_id, chunk_key, sum(q.w * c.w) AS p FROM question_cells q JOIN cells c USING (bucket) GROUP BY ALL),
+lengths AS (SELECT chunk_key, sum(w * w) AS l FROM cells GROUP BY chunk_key),
+question_lengths AS (SELECT query_id, sum(w * w) AS l FROM question_cells GROUP BY query_id),
+ranked AS (
+  SELECT query_id, chunk_key, row_number() OVER (PARTITION BY query_id ORDER BY
+           round(sqrt(greatest(coalesce(ql.l, 0) + coalesce(cl.l, 0) - 2 * coalesce(p, 0), 0)), 9), chunk_key) AS nth
+  FROM (SELECT query_id, chunk_key FROM asked, source) LEFT JOIN products USING (query_id, chunk_key)
+  LEFT JOIN lengths cl USING (chunk_key) LEFT JOIN question_lengths ql USING (query_id)),
+hits AS MATERIALIZED (
+  SELECT * FROM (
+    SELECT query_id, nth, source.*, row_number() OVER (PARTITION BY query_id, text ORDER BY nth) AS copy
+    FROM ranked JOIN source USING (chunk_key) WHERE nth <= {k} AND "year" = '2020')
+  WHERE copy = 1)"""
+
+
+# Chunks of 2,000 characters of every document, as one section named after its source.
+BATCH_CHUNKS_SQL = f"""
+SELECT CAST(to_json([CAST(rid AS VARCHAR), "year", section_number, CAST(chunk_number AS VARCHAR)]) AS VARCHAR)
+         AS chunk_key, t AS text, "year", section_number, chunk_number
+FROM ({recursive_sql("SELECT doc_id AS rid, text AS txt FROM documents", 2000, 200)})
+JOIN ({VIEW_SQL}) ON rid = doc_id"""
+
+
+@query("batch_qa", f"""{found_sql(BATCH_CHUNKS_SQL, 200)},
+prompts AS (
+  SELECT asked.query, position, length({template_sql(year="'2020'", query="asked.query", context="coalesce(" + CONTEXT_SQL + ", '')")}) AS n,
+         query_id, (SELECT CAST(count(*) AS INTEGER) FROM hits WHERE hits.query_id = asked.query_id) AS n_chunks
+  FROM asked LEFT JOIN (SELECT query_id, min_by(hits, nth) AS h FROM hits GROUP BY query_id) USING (query_id))
+SELECT query, position, CASE WHEN n % 7 <> 0 THEN n || ' characters, 200 tokens' END AS answer,
+       CASE WHEN n % 7 = 0 THEN 'Error: cannot answer' END AS error, n_chunks
+FROM prompts""")
 def _batch_qa(spark, sf_dir):
     return _batch(spark, sf_dir).select("query", "position", "answer", "error", F.size("chunks").alias("n_chunks"))
 
@@ -95,22 +166,20 @@ def answer_by_question(prompts, **options):
     return [n if n % 7 == 0 else json.dumps({"answer": f"{n} characters"}) for n in lengths]
 
 
-@query("company_questions_json", f"""
-WITH texts AS (SELECT DISTINCT text FROM ({FILING_CHUNKS_SQL}) WHERE "year" = '2020'),
-asked AS (SELECT DISTINCT text AS query, length(text) AS n FROM benchmark)
+@query("company_questions_json", f"""{found_sql(FILING_CHUNKS_SQL, 60)},
+answered AS (SELECT query, query_id, length(query) AS n FROM asked)
 SELECT query, CASE WHEN n % 5 = 0 OR n % 7 = 0 THEN NULL ELSE n || ' characters' END AS answer,
        CASE WHEN n % 5 = 0 THEN 'Error: cannot answer' WHEN n % 7 = 0 THEN 'Error: a int is no text' END AS error,
-       (SELECT CAST(count(*) AS INTEGER) FROM texts) AS n_chunks,
-       (SELECT md5(string_agg(md5(text), '|' ORDER BY md5(text))) FROM texts) AS contents_md5
-FROM asked""")
+       CAST(count(text) AS INTEGER) AS n_chunks,
+       md5(coalesce(string_agg(md5(text), '|' ORDER BY md5(text)), '')) AS contents_md5
+FROM answered LEFT JOIN hits USING (query_id) GROUP BY query, n""")
 def _company_questions_json(spark, sf_dir):
-    """From a company's filings to saved answers, errors included: all its chunks are
-    asked for, so every question has the distinct ones of the year."""
+    """From a company's filings to saved answers, errors included."""
     table_path, json_path = scratch_path(spark, "company"), scratch_path(spark, "answers-json")
     chunks, encoder = company_ingest(filings(spark, sf_dir, heavy=True), ["2018", "2019", "2020"], "src3", table_path)
     questions = table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query"))
-    answered = ask(questions, chunks, encoder, 2020, answer_by_question, k=max(1, chunks.count()))
+    answered = ask(questions, chunks, encoder, 2020, answer_by_question, k=60)
     write_results_json(result_records(answered), json_path)
     contents = F.array_sort(F.transform("chunks", lambda c: F.md5(c["content"])))
     return read_results_json(spark, json_path).select(

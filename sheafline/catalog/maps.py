@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseMatrix
 from pyspark.ml.stat import Summarizer
@@ -12,7 +13,7 @@ from sheafline.catalog.chunks import SECTION_CHUNKS_SQL, word_chunks_sql
 from sheafline.catalog.filings import filings
 from sheafline.functions.text import section_number
 from sheafline.functions.vectors import as_array, components, euclidean
-from sheafline.operators.encode import HashingEncoder, embed_text
+from sheafline.operators.encode import BatchEncoder, HashingEncoder, embed_text
 from sheafline.operators.mapping import (
     SCATTER_VIEWS, Projection, cluster, count_outliers, distance_to_center, flag_outliers, map_points,
     plot_table, project, scatter_bins, standardize, wide_components, with_vector,
@@ -78,6 +79,30 @@ def _embed_text_norms(spark, sf_dir):
     return embedded.select("doc_id", "chunk_id", F.size(vector).alias("n_dimensions"), r6(norm).alias("norm"))
 
 
+def letter_model():
+    """A stand-in for an embedding model: how often five letters occur, and the length."""
+    def encode(texts):
+        return np.array([[*(t.count(c) for c in "aeinr"), len(t)] for t in texts], np.float32)
+    return encode
+
+
+@query("embed_by_model", f"""
+SELECT doc_id, chunk_id, n_chars, CAST(generate_subscripts(counts, 1) AS INTEGER) AS dim,
+       CAST(unnest(counts) AS BIGINT) AS n
+FROM (SELECT doc_id, chunk_id, length(chunk_text) AS n_chars, list_transform(['a', 'e', 'i', 'n', 'r'],
+        lambda c: length(chunk_text) - length(replace(chunk_text, c, ''))) AS counts
+      FROM ({DOC_CHUNKS_SQL}))""")
+def _embed_by_model(spark, sf_dir):
+    """Vectors of a model that each worker loads once."""
+    chunks = word_chunks(documents_table(spark, sf_dir).select("doc_id", "text"), "text")
+    vector = vector_to_array("embeddings")
+    return embed_text(chunks, "chunk_text", BatchEncoder(letter_model, 64), keep_text=False).select(
+        "doc_id", "chunk_id", F.get(vector, F.lit(5)).cast("long").alias("n_chars"),
+        F.posexplode(F.slice(vector, 1, 5)).alias("pos", "x"),
+    ).select("doc_id", "chunk_id", "n_chars", (F.col("pos") + 1).alias("dim"),
+             F.col("x").cast("long").alias("n"))
+
+
 @query("standard_scale", """
 WITH cells AS (
   SELECT vec_id, unnest(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS x,

@@ -21,26 +21,30 @@ from sheafline.sources.sinks import (
 )
 from sheafline.sources.stores import PartitionedStore
 
-# Every vector of the given table is one chunk of the vector table, with the text of the
-# document of the same number where there is one. Those with the number of a benchmark item
-# are the questions.
+# The vectors alone, and the vector table: every document with the vector of its number,
+# where numbers start again after the last vector, and vectors without a document with an
+# empty text. Vectors with the number of a benchmark item are the questions.
+VECTORS_SQL = """
+SELECT vec_id AS chunk_key, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings"""
+
 CHUNKS_SQL = """
-SELECT vec_id AS chunk_key, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e,
-       coalesce(text, '') AS text, CAST(2018 + vec_id % 3 AS VARCHAR) AS "year",
-       coalesce(source, 'none') AS section_number, 1 AS chunk_number
-FROM embeddings LEFT JOIN documents ON vec_id = doc_id"""
+SELECT *, CAST(2018 + chunk_key % 3 AS VARCHAR) AS "year", 1 AS chunk_number FROM (
+  SELECT coalesce(doc_id, vec_id) AS chunk_key, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e,
+         coalesce(text, '') AS text, coalesce(source, 'none') AS section_number
+  FROM embeddings LEFT JOIN (
+    SELECT *, doc_id % (SELECT max(vec_id) + 1 FROM embeddings) AS number FROM documents) ON vec_id = number)"""
 
 QUERIES_SQL = """
 SELECT vec_id AS chunk_key, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e, text
 FROM embeddings JOIN benchmark ON vec_id = item_id"""
 
 
-def ranked_sql(k: int, distance: str = "list_distance(q.e, c.e)") -> str:
+def ranked_sql(k: int, distance: str = "list_distance(q.e, c.e)", chunks: str = CHUNKS_SQL) -> str:
     return f"""
 SELECT query_id, chunk_key, d, CAST("rank" AS INTEGER) AS "rank" FROM (
   SELECT query_id, chunk_key, d, row_number() OVER (PARTITION BY query_id ORDER BY d, chunk_key) AS "rank"
   FROM (SELECT q.chunk_key AS query_id, c.chunk_key, {distance} AS d
-        FROM ({QUERIES_SQL}) q, ({CHUNKS_SQL}) c))
+        FROM ({QUERIES_SQL}) q, ({chunks}) c))
 WHERE "rank" <= {k}"""
 
 
@@ -50,12 +54,15 @@ def plain_vectors(spark, sf_dir):
 
 
 def vector_chunks(spark, sf_dir):
-    vectors = plain_vectors(spark, sf_dir)
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return vectors.join(documents, vectors.chunk_key == documents.doc_id, "left").select(
-        "chunk_key", "embeddings", F.coalesce("text", F.lit("")).alias("text"),
-        (F.lit(2018) + F.col("chunk_key") % 3).cast("string").alias("year"),
-        F.coalesce("source", F.lit("none")).alias("section_number"), F.lit(1).alias("chunk_number"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("embeddings"))
+    last = vectors.select(F.max("vec_id")).scalar()
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "source", (F.col("doc_id") % (last + 1)).alias("number"))
+    return vectors.join(documents, vectors.vec_id == documents.number, "left").select(
+        F.coalesce("doc_id", "vec_id").alias("chunk_key"), "embeddings", F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce("source", F.lit("none")).alias("section_number"),
+    ).select("*", (F.lit(2018) + F.col("chunk_key") % 3).cast("string").alias("year"),
+             F.lit(1).alias("chunk_number"))
 
 
 def vector_queries(spark, sf_dir):
@@ -66,14 +73,14 @@ def vector_queries(spark, sf_dir):
 
 
 @query("topk_neighbors", f"""
-SELECT query_id, chunk_key, round(d, 6) + 0.0 AS distance, "rank" FROM ({ranked_sql(20)})""")
+SELECT query_id, chunk_key, round(d, 6) + 0.0 AS distance, "rank" FROM ({ranked_sql(20, chunks=VECTORS_SQL)})""")
 def _topk_neighbors(spark, sf_dir):
     found = nearest(vector_queries(spark, sf_dir), plain_vectors(spark, sf_dir), 20)
     return found.withColumn("distance", r6("distance"))
 
 
 @query("topk_neighbors_by_block", f"""
-SELECT query_id, chunk_key, round(d, 6) + 0.0 AS distance, "rank" FROM ({ranked_sql(20)})""")
+SELECT query_id, chunk_key, round(d, 6) + 0.0 AS distance, "rank" FROM ({ranked_sql(20, chunks=VECTORS_SQL)})""")
 def _topk_neighbors_by_block(spark, sf_dir):
     """The form for query tables that are not broadcast."""
     found = nearest(vector_queries(spark, sf_dir), plain_vectors(spark, sf_dir), 20,
@@ -85,7 +92,7 @@ COSINE = "list_cosine_distance(q.e, c.e)"
 
 
 @query("topk_cosine", f"""
-SELECT query_id, chunk_key, round(d, 6) + 0.0 AS distance, "rank" FROM ({ranked_sql(20, COSINE)})""")
+SELECT query_id, chunk_key, round(d, 6) + 0.0 AS distance, "rank" FROM ({ranked_sql(20, COSINE, VECTORS_SQL)})""")
 def _topk_cosine(spark, sf_dir):
     found = nearest(vector_queries(spark, sf_dir), plain_vectors(spark, sf_dir), 20, metric="cosine")
     return found.withColumn("distance", r6("distance"))
@@ -98,7 +105,7 @@ def _lsh_neighbors(spark, sf_dir):
 
 @query("lsh_neighbors_first", f"""
 SELECT a.chunk_key AS query_id, min(b.chunk_key) AS chunk_key, 0.0::DOUBLE AS distance
-FROM ({QUERIES_SQL}) a JOIN ({CHUNKS_SQL}) b ON a.e = b.e GROUP BY a.chunk_key""")
+FROM ({QUERIES_SQL}) a JOIN ({VECTORS_SQL}) b ON a.e = b.e GROUP BY a.chunk_key""")
 def _lsh_neighbors_first(spark, sf_dir):
     """Equal vectors share every bucket, so each vector finds itself or its first copy."""
     return _lsh_neighbors(spark, sf_dir).where("rank = 1").select("query_id", "chunk_key", "distance")
@@ -114,6 +121,27 @@ def _topk_postfilter(spark, sf_dir):
     return hits.select("query_id", "chunk_key", "rank", "year")
 
 
+@query("topk_within_scope", f"""
+SELECT query_id, "year", section_number, chunk_key, CAST("rank" AS INTEGER) AS "rank" FROM (
+  SELECT q.chunk_key AS query_id, c."year", c.section_number, c.chunk_key, row_number() OVER (
+           PARTITION BY q.chunk_key ORDER BY list_distance(q.e, c.e), c.chunk_key) AS "rank"
+  FROM ({QUERIES_SQL}) q JOIN ({CHUNKS_SQL}) c
+    ON c."year" = CAST(2018 + q.chunk_key % 2 * 2 AS VARCHAR) AND c.section_number = 'src' || q.chunk_key % 4)
+WHERE "rank" <= 10""")
+def _topk_within_scope(spark, sf_dir):
+    """Every question against the chunks of its own year and source, in one job, from a
+    table with a directory for each."""
+    store = PartitionedStore(spark, scratch_path(spark, "scoped"), ("year", "section_number"))
+    store.add(vector_chunks(spark, sf_dir), "chunk_key")
+    scope = ["year", "section_number"]
+    questions = vector_queries(spark, sf_dir).withColumn(
+        "year", (F.lit(2018) + F.col("query_id") % 2 * 2).cast("string")).withColumn(
+        "section_number", F.concat(F.lit("src"), (F.col("query_id") % 4).cast("string")))
+    found = nearest(questions, store.read(), 10, within=scope)
+    return found.join(questions.select("query_id", *scope), "query_id").select(
+        "query_id", *scope, "chunk_key", "rank")
+
+
 @query("dedupe_by_content", """
 SELECT lang, doc_id, source, md5(text) AS text_md5 FROM (
   SELECT *, row_number() OVER (PARTITION BY lang, text ORDER BY doc_id) AS n FROM documents)

@@ -7,7 +7,7 @@ Only those survivors are shuffled. Ties are broken by the chunk key.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
@@ -159,12 +159,12 @@ def _arrow_schema(schema: StructType) -> pa.Schema:
     return pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema])
 
 
-def _vectors_only(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """Key and vector; nothing else is read for the comparison. Floats stay floats and
-    doubles doubles."""
+def _vectors_only(df: DataFrame, key: str, vector: str, within: Sequence[str] = ()) -> DataFrame:
+    """Key, vector and the columns of the scope; nothing else is read for the comparison.
+    Floats stay floats and doubles doubles."""
     kind = df.schema[vector].dataType
     single = isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType)
-    slim = df.select(key, as_array(df, vector, "float32" if single else "float64").alias("__vector"))
+    slim = df.select(key, as_array(df, vector, "float32" if single else "float64").alias("__vector"), *within)
     return slim.where(F.col("__vector").isNotNull())
 
 
@@ -186,6 +186,48 @@ def _compare_with_all(chunks: DataFrame, query_rows: pa.Table, schema: StructTyp
     return chunks.mapInArrow(scan, schema)
 
 
+def _scope(within: Sequence[str]) -> Column:
+    """The values of the scope as one text; null if any of them is."""
+    return F.when(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in within)),
+                  F.to_json(F.array(*(F.col(c).cast("string") for c in within)))).alias("__scope")
+
+
+def _compare_within(chunks: DataFrame, queries: DataFrame, within: Sequence[str], schema: StructType,
+                    k: int, metric: str) -> DataFrame:
+    """One pass over the chunks of the scopes that the queries name, which every task holds.
+
+    The chunk vectors are not shuffled. Where the columns of the scope are directories, the
+    join with the queries' scopes, fewer rows than the queries that are sent out anyway,
+    prunes the scan while it runs.
+    """
+    query_id, chunk_key = schema.names[:2]
+    # True of all but nulls; Spark prunes by a side that some comparison has filtered.
+    asked = queries.select(*within).where(reduce(
+        lambda a, b: a & b, (F.length(F.col(c).cast("string")) >= 0 for c in within))).distinct()
+    rows = queries.select(query_id, "__vector", _scope(within)).where("__scope is not null").toArrow()
+    scopes = np.array(rows["__scope"].to_pylist(), dtype=object)
+    ids, matrix = _flat(rows[query_id]), as_matrix(rows["__vector"])
+    own = {s: np.flatnonzero(scopes == s) for s in set(scopes)}
+    held = queries.sparkSession.sparkContext.broadcast(
+        {s: (ids.take(pa.array(at)), matrix[at]) for s, at in own.items()})
+    arrow = _arrow_schema(schema)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[str, BestChunks] = {}
+        for b in batches:
+            x, keys = as_matrix(b.column("__vector")), b.column(chunk_key).to_numpy(zero_copy_only=False)
+            scope = np.array(b.column("__scope").to_pylist(), dtype=object)
+            for s in set(scope) & held.value.keys():
+                if s not in best:
+                    best[s] = BestChunks(held.value[s][1], k, metric)
+                best[s].add(x[scope == s], keys[scope == s])
+        for s, found in best.items():
+            yield from found.table(held.value[s][0], arrow).to_batches()
+
+    mine = chunks.join(F.broadcast(asked), list(within), "left_semi")
+    return mine.select(chunk_key, "__vector", _scope(within)).mapInArrow(scan, schema)
+
+
 def _salted(df: DataFrame, block: list[str], key: str, mine: str, other: str,
             my_parts: DataFrame, other_parts: DataFrame) -> DataFrame:
     """Put a row into its own part of its block, and copy it to each part that the
@@ -255,9 +297,13 @@ def keep_best(found: DataFrame, k: int, query_id: str, chunk_key: str) -> DataFr
 def nearest(queries: DataFrame, chunks: DataFrame, k: int = 200, *, query_id: str = "query_id",
             query_vector: str = "embeddings", chunk_key: str = "chunk_key",
             chunk_vector: str = "embeddings", metric: str = "l2",
-            query_rows: int | None = None) -> DataFrame:
+            query_rows: int | None = None, within: Sequence[str] = ()) -> DataFrame:
     """The ``k`` nearest chunks of every query, exactly: query, chunk, distance, rank.
 
+    ``within`` names columns of both tables, such as company and year: a query is then
+    compared with the chunks that equal it in all of them, and no others are read where
+    they are directories of the chunk table. A query with a null there finds nothing.
+
     The queries are stored and cut into blocks of bounded bytes (or of ``query_rows``).
     Each block goes to every task of one pass over the chunk vectors, which stay where
     they lie and are never shuffled; only the k best of each task are. Several blocks are
@@ -266,20 +312,24 @@ def nearest(queries: DataFrame, chunks: DataFrame, k: int = 200, *, query_id: st
     if k < 1 or metric not in ("l2", "cosine"):
         raise ValueError("need k >= 1 and metric l2 or cosine")
     schema = _result_schema(queries, chunks, query_id, chunk_key)
-    q = _vectors_only(queries, query_id, query_vector)
-    c = _vectors_only(chunks, chunk_key, chunk_vector)
+    q = _vectors_only(queries, query_id, query_vector, within)
+    c = _vectors_only(chunks, chunk_key, chunk_vector, within)
     q = stored(q, "queries")
     n, width = q.agg(F.count("*"), F.max(F.size("__vector"))).first()
     most = query_rows or max(1, BLOCK_BYTES // (8 * (width or 1) + 24 * k))
     blocks = -(-n // most) or 1
-    if blocks == 1:
-        found = _compare_with_all(c, q.toArrow(), schema, k, metric)
+
+    def compared(some: DataFrame) -> DataFrame:
+        found = (_compare_within(c, some, within, schema, k, metric) if within
+                 else _compare_with_all(c, some.toArrow(), schema, k, metric))
         return keep_best(found, k, query_id, chunk_key)
+
+    if blocks == 1:
+        return compared(q)
     parts = []
     for block in range(blocks):
-        mine = q.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == block).toArrow()
-        parts.append(stored(keep_best(_compare_with_all(c, mine, schema, k, metric), k,
-                                      query_id, chunk_key), "nearest"))
+        mine = q.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == block)
+        parts.append(stored(compared(mine), "nearest"))
     return reduce(DataFrame.unionByName, parts)
 
 

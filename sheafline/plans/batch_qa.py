@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sheafline.operators.answering import (
     DEFAULT_TEMPLATE, apply_generator, last_per_query, render_prompts, with_answers,
@@ -14,22 +15,34 @@ from sheafline.session import stored
 from sheafline.sources.filings import spread
 
 
-def ask(questions: DataFrame, chunks: DataFrame, encoder, year: str | int,
-        generate: Callable[..., Sequence[str]], *, k: int = 200, best: int = 1,
-        template: str = DEFAULT_TEMPLATE, **retrieve_options) -> DataFrame:
+def ask(questions: DataFrame, chunks: DataFrame, encoder, year: str | int | None = None,
+        generate: Callable[..., Sequence[str]] | None = None, *, k: int = 200, best: int = 1,
+        template: str = DEFAULT_TEMPLATE, load: Callable[[], Callable[..., Sequence[str]]] | None = None,
+        within: Sequence[str] = (), **retrieve_options) -> DataFrame:
     """Questions (query_id, query) -> query, position, query_id, answer, error, chunks.
 
+    With ``year`` the k nearest chunks are searched and those of another year dropped. With
+    ``within``, say ("cik", "year"), the questions have these columns themselves, one batch
+    may span companies and years, and each is answered from the chunks that equal it there;
+    its prompt names its own year.
+
     ``encoder`` is the fitted encoder of the chunk table; ``generate`` produces one
     text per prompt. The last of several equal questions gives the result, so only
     that one is searched and answered. Generation is spread over all cores, since the
-    prompts themselves are one small file. Prompts and answers are stored: a lost executor
+    prompts themselves are one small file; ``load`` keeps a model in the workers. Prompts and answers are stored: a lost executor
     or a second action repeats neither the search nor the generation.
     """
-    asked = last_per_query(questions)
+    if (year is None) == (not within):
+        raise ValueError("pass either year or within")
+    asked = last_per_query(questions, within=within)
     vectors = encoder.transform(asked, "query", "embeddings")
+    if within:
+        retrieve_options["within"] = within
+    shown = F.col("year") if year is None and "year" in within else year if year is not None else ""
     retrieved = retrieve(vectors, chunks, k, year, **retrieve_options)
-    prompted = stored(render_prompts(with_context(retrieved, best), year, template), "prompts")
-    answers = stored(apply_generator(spread(prompted.select("query_id", "prompt")), generate), "answers")
+    prompted = stored(render_prompts(with_context(retrieved, best), shown, template), "prompts")
+    answers = stored(apply_generator(spread(prompted.select("query_id", "prompt")), generate, load=load),
+                     "answers")
     found = answers.select("query_id", "answer", "error").join(
         prompted.drop("prompt", "context"), "query_id")
     return with_answers(found)
