@@ -393,6 +393,20 @@ def _scatter_bins(spark, sf_dir):
     return first
 
 
+def _square_sql(c: str) -> str:
+    return f"""CAST(least(floor((({c} - (SELECT min({c}) FROM p)) / (SELECT max({c}) - min({c}) FROM p)) * 200), 199)
+       AS BIGINT)"""
+
+
+@query("scatter_bins_bounded", f"""
+WITH p AS ({PLOT_SQL})
+SELECT {_square_sql('"PC1"')} AS bin_x, {_square_sql('"PC2"')} AS bin_y, CAST("Cluster" AS VARCHAR) AS hue,
+       count(*) AS n_points FROM p GROUP BY ALL""")
+def _scatter_bins_bounded(spark, sf_dir):
+    """At most 200 squares between the ends of each axis, whatever their range."""
+    return scatter_bins(stored(_plot_points(spark, sf_dir), "plot"), "Cluster")
+
+
 @query("csv_roundtrip", PLOT_SQL)
 def _csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "plot-csv")

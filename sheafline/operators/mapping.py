@@ -201,9 +201,16 @@ def cluster(df: DataFrame, k: int = 5, features_col: str = "pca_features",
     of = [F.get("v", F.lit(i)) for i in range(d)]
     first = points.agg(*(F.avg(c) for c in of), *(F.stddev_pop(c) for c in of)).first() if d else ()
     centers = spread_start(first[:d], first[d:], k) if d else np.zeros((k, 0))
-    names = ["n", *(f"s{i}" for i in range(d))]
+    centers = lloyd(points, centers, steps if d else 0, tolerance)
+    model = KMeansFit(tuple(map(tuple, centers.tolist())), features_col, prediction_col)
+    return model.transform(df), model
+
+
+def lloyd(points: DataFrame, centers: np.ndarray, steps: int, tolerance: float) -> np.ndarray:
+    """Move ``centers`` to the means of the points (one array column) nearest to them."""
+    names = ["n", *(f"s{i}" for i in range(centers.shape[1]))]
     schema = ", ".join(["c int", *(f"{n} double" for n in names)])
-    for _ in range(steps if d else 0):
+    for _ in range(steps):
         sums = points.mapInArrow(_sums_by_center(centers, names), schema)
         moved = centers.copy()
         for r in sums.groupBy("c").agg(*(F.sum(n).alias(n) for n in names)).collect():
@@ -213,8 +220,7 @@ def cluster(df: DataFrame, k: int = 5, features_col: str = "pca_features",
         centers = moved
         if settled:
             break
-    model = KMeansFit(tuple(map(tuple, centers.tolist())), features_col, prediction_col)
-    return model.transform(df), model
+    return centers
 
 
 def distance_to_center(points: DataFrame, centers: DataFrame, vector_col: str = "pca_features",
