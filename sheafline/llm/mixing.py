@@ -96,8 +96,9 @@ def mix(docs: DataFrame, keep: list[str], budget: int | None = None,
     like the new ones.
     """
     source = F.coalesce("source", F.lit(""))
-    counted = docs.select(F.struct(*keep).alias("row"), source.alias("source"), "doc_id",
-                          token_count("text").alias("n_tokens")).where("n_tokens > 0")
+    # Words are counted once; later passes read what they need of the stored rows.
+    counted = stored(docs.select(F.struct(*keep).alias("row"), source.alias("source"), "doc_id",
+                                 token_count("text").alias("n_tokens")).where("n_tokens > 0"), "mix_counted")
     sources = stored(counted.groupBy("source").agg(F.sum("n_tokens").alias("tokens")), "sources")
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     budget = min(total if budget is None else budget, int(repetitions * total))
