@@ -150,8 +150,9 @@ d AS (SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
 k AS (SELECT payload_digest, max(page_id) AS keeper FROM d WHERE payload_bytes >= 1000
       GROUP BY payload_digest)
 SELECT d.page_id, d.payload_bytes, d.payload_digest,
-       CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+       CASE WHEN keeper IS NOT NULL AND keeper IS DISTINCT FROM page_id THEN 'revisit'
+            ELSE 'response' END AS record_type,
+       CASE WHEN keeper IS DISTINCT FROM page_id THEN keeper END AS refers_to
 FROM d LEFT JOIN k ON k.payload_digest = d.payload_digest AND d.payload_bytes >= 1000
 """)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

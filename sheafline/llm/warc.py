@@ -55,13 +55,33 @@ def _record(kind: Column | str, headers: list[tuple[str, Column]], block: Column
     return F.concat(F.concat_ws(END, *lines), F.lit(END + END), block)
 
 
+def _numbered(pages: DataFrame) -> DataFrame:
+    """The rows with ``nth``, 0 for all but rows that repeat another. Those are added up by
+    their content and dealt out again, so that no task holds a row that repeats very often
+    and no other row is shuffled."""
+    own = ["page_id", "url", "sha1", "size"]
+    often = stored(pages.groupBy(*own).count().where("count > 1"), "repeated_pages")
+    none = F.lit(0).cast("long").alias("nth")
+    if often.isEmpty():
+        return pages.select("*", none)
+    side = small_or_shuffled(often.select(*(F.col(c).alias(f"of_{c}") for c in own)), 200)
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in own]
+    again = pages.join(side, same, "left_semi").groupBy(*own).agg(
+        F.first("payload").alias("payload"), F.count("*").alias("n"))
+    dealt = again.select(*own, "payload", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
+                         .alias("nth")).repartition(F.xxhash64("sha1", "nth"))
+    return pages.join(side, same, "left_anti").select("*", none).unionByName(dealt)
+
+
 def write_archives(pages: DataFrame, path: str, captured: str = CAPTURED) -> None:
     """Write ``pages (page_id, url, html, …)`` as gzipped WARC files.
 
     Of pages with equal payloads of at least REVISIT_BYTES bytes the one with the largest
-    page_id is the response and the others revisit it. A null html is an empty payload, a
-    null url leaves the target out, a null page_id sorts lowest. A page repeated with the
-    same url and html is one capture. Other columns are ignored.
+    page_id is the response and the others revisit it; rows that share that page_id are
+    responses each. A null html is an empty payload, a null url leaves the target out, a
+    null page_id sorts lowest. Every row is a capture of its own, also one that repeats
+    another: rows with equal page_id, url and payload are counted, and numbered in their
+    record ids. Other columns are ignored.
     """
     payload = F.coalesce("html", F.lit(""))
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"),
@@ -70,17 +90,17 @@ def write_archives(pages: DataFrame, path: str, captured: str = CAPTURED) -> Non
                          F.octet_length(payload).alias("size"))
     keepers = stored(
         pages.where(F.col("size") >= REVISIT_BYTES).groupBy("sha1", "size").agg(
-            F.max(F.struct("page_id", "url")).alias("keeper"),
-            F.min(F.struct("page_id", "url")).alias("other"))
-        .where("keeper <> other").select(F.col("sha1").alias("of_sha1"),
-                                         F.col("size").alias("of_size"), "keeper"), "keepers")
-    rows = pages.join(small_or_shuffled(keepers, 160), [
+            F.max(F.struct("page_id", "url")).alias("keeper"), F.min("page_id").alias("other"),
+            F.count_if(F.col("page_id").isNull()).alias("unnamed"))
+        .where("keeper.page_id <> other or (unnamed > 0 and keeper.page_id is not null)")
+        .select(F.col("sha1").alias("of_sha1"), F.col("size").alias("of_size"), "keeper"), "keepers")
+    rows = _numbered(pages).join(small_or_shuffled(keepers, 160), [
         F.col("sha1") == F.col("of_sha1"), F.col("size") == F.col("of_size")], "left")
-    own = F.struct("page_id", "url")
-    again = F.col("keeper").isNotNull() & ~F.col("keeper").eqNullSafe(own)
-    main = _record_id(F.col("page_id"), F.col("url"), F.col("sha1"), F.lit("response"))
+    again = F.col("keeper").isNotNull() & ~F.col("keeper.page_id").eqNullSafe(F.col("page_id"))
+    number = F.when(F.col("nth") > 0, F.col("nth"))
+    main = _record_id(F.col("page_id"), F.col("url"), F.col("sha1"), number, F.lit("response"))
     original = _record_id(F.col("keeper.page_id"), F.col("keeper.url"), F.col("sha1"),
-                          F.lit("response"))
+                          F.lit(None), F.lit("response"))
     common = [("WARC-Target-URI", F.col("url")), ("WARC-Date", F.lit(captured))]
     digest = ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1")))
     head = F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}"
@@ -100,7 +120,7 @@ def write_archives(pages: DataFrame, path: str, captured: str = CAPTURED) -> Non
             ("metadata", "application/warc-fields",
              F.concat(F.lit("page-id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
                       F.lit(END)))):
-        own_id = _record_id(F.col("page_id"), F.col("url"), F.col("sha1"), F.lit(kind))
+        own_id = _record_id(F.col("page_id"), F.col("url"), F.col("sha1"), number, F.lit(kind))
         sides.append(_record(kind, [("WARC-Record-ID", own_id), *common,
                                     ("WARC-Concurrent-To", main),
                                     ("Content-Type", F.lit(content))], block))

@@ -42,8 +42,26 @@ def test_sizes_about_the_limit_and_repeated_rows(spark):
             (4, "d", "y" * 1000, "", 0), (4, "d", "y" * 1000, "", 0)]
     _, got = roundtrip(spark, rows, with_payload=False)
     assert sorted((r.metadata.page_id, r.record_type) for r in got) == [
-        (1, "response"), (2, "response"), (3, "revisit"), (4, "response")]
+        (1, "response"), (2, "response"), (3, "revisit"), (4, "response"), (4, "response")]
     assert all(r.payload is None for r in got)
+    assert len({r.record_id for r in got}) == 5
+
+
+def test_every_row_is_a_capture_as_sql_has_it(spark, tmp_path):
+    import duckdb
+    from sheafline.llm.queries import QUERIES, SQL
+
+    big, other = "z" * 1200, "w" * 1500
+    rows = [(1, "a", big), (1, "a", big), (1, "b", big), (2, "c", big), (2, "c", big), (2, "d", big),
+            (None, "e", big), (None, "e", big), (3, "f", "s"), (3, "f", "s"), (4, None, None), (4, None, None),
+            (None, "g", other), (None, "h", other)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    expected = con.execute(f"SELECT {', '.join(names)} FROM ({SQL['op6_warc']})").fetchall()
+    got = QUERIES["op6_warc"](spark, str(tmp_path)).select(names).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected)) and len(got) == len(rows)
 
 
 def test_no_pages(spark):
