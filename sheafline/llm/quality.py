@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -146,14 +147,11 @@ def fit_quality(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> QualityM
 
 def score_quality(rows: DataFrame, model: QualityModel, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``rows (text, …)`` with score (0 to 1, higher: label 1 is
-    likelier). Null, empty and blank texts are all one text without words."""
-    source = rows.select(*keep, F.col("text").alias("_text"))
-
-    def run(batches):
-        for batch in batches:
-            scores = model.scores(batch.column(len(keep)).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(keep)], pa.array(scores, pa.float64())],
-                names=[*keep, "score"])
-
-    return source.mapInArrow(run, source.drop("_text").schema.add("score", "double"))
+    likelier). Null, empty and blank texts are all one text without words. A kept column
+    named score is replaced. Only the texts pass through Python."""
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array(model.scores(texts.to_pylist()), pa.float64())
+
+    return rows.select(*(c for c in keep if c != "score"),
+                       F.arrow_udf(run, "double")(F.col("text")).alias("score"))

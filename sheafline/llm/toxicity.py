@@ -12,6 +12,7 @@ To score, the two linear maps are folded into one number per n-gram.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -178,17 +179,14 @@ def fit_toxicity(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Toxicit
 
 def score_toxicity(rows: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``rows (text, …)`` with score, the probability (0 to 1)
-    that the text is toxic. Null, empty and wordless texts get the score of no signal."""
-    source = rows.select(*keep, F.col("text").alias("_text"))
-
-    def run(batches):
+    that the text is toxic. Null, empty and wordless texts get the score of no signal. A
+    kept column named score is replaced. Only the texts pass through Python."""
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known: dict[str, float] = {}
-        for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
-                scores = model.scores(part.column(len(keep)).to_pylist(), known)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:len(keep)], pa.array(scores, pa.float64())],
-                    names=[*keep, "score"])
-
-    return source.mapInArrow(run, source.drop("_text").schema.add("score", "double"))
+        for texts in batches:
+            scores = [x for i in range(0, len(texts), 500)
+                      for x in model.scores(texts.slice(i, 500).to_pylist(), known)]
+            yield pa.array(scores, pa.float64())
+
+    return rows.select(*(c for c in keep if c != "score"),
+                       F.arrow_udf(run, "double")(F.col("text")).alias("score"))
