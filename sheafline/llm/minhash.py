@@ -116,15 +116,17 @@ def _signatures(width: int):
 
 
 def _sets(width: int):
-    """The sets of documents that are members of candidate groups."""
+    """The sets of documents that are members of candidate groups; rows without words,
+    which may repeat a member's doc_id, have none."""
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            found = [shingle_set(hashes.of(t.lower().split()), width).tobytes()
+            found = [shingle_set(hashes.of((t or b"").lower().split()), width).tobytes() or None
                      for t in byte_texts(batch.column(1))]
+            sets = pa.array(found, pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.binary()), *batch.columns[2:]],
-                names=["doc_id", "shingles", *batch.schema.names[2:]])
+                [batch.column(0), sets, *batch.columns[2:]],
+                names=["doc_id", "shingles", *batch.schema.names[2:]]).filter(sets.is_valid())
     return run
 
 
@@ -185,7 +187,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     able = signed.where("n_shingles > 0 and doc_id is not null")
     classes = able.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"),
                                                  F.count("*").alias("copies"))
-    copies = classes.where("copies > 1").drop("copies")
+    # Stored, so that adaptive execution can split a hot class in the join.
+    copies = stored(classes.where("copies > 1").drop("copies"), "copies")
     members = stored(able.join(copies, ["set_a", "set_b"], "left").select(
         "doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "members")
     reps = members.where("doc_id = rep").select("doc_id").distinct()

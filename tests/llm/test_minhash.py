@@ -78,6 +78,12 @@ def test_rows_of_one_id_are_one_document(spark):
     assert {(i, c) for i, _, c in found(spark, rows)} == {(1, 1), (2, 1), (3, 1)}
 
 
+def test_repeated_ids_without_words(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, "", 0), (2, text + " x", "", 0), (1, None, "", 0), (2, "", "", 0), (3, " ", "", 0)]
+    assert {(i, c) for i, _, c in found(spark, rows)} == {(1, 1), (2, 1), (3, 3)}
+
+
 def test_estimate_is_close():
     rng = random.Random(0)
     import numpy as np
