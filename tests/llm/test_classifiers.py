@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from sheafline.llm.language import fit_languages, identify, letter_grams
 from sheafline.llm.quality import fit_quality, score_quality
@@ -43,6 +44,50 @@ def test_language_edges(spark):
     assert identify(docs.limit(0), model, ["text"]).collect() == []
 
 
+def test_unlearned_languages_are_rejected(spark):
+    rng = random.Random(8)
+    rows = [(prose(rng, lang, rng.randint(4, 120)), lang) for lang in ("aa", "bb") for _ in range(300)]
+    rows += [("qq ww " * 20, "aa"), ("yy " * 40, "bb")]
+    model = fit_languages(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(model.owner) >= 4 and len(model.languages) == 2
+    letters = lambda n: " ".join("".join(rng.choice("cdfghjmnpqstvwxyz") for _ in range(5)) for _ in range(n))
+    texts = [(prose(rng, lang, n), True) for lang in ("aa", "bb") for n in (4, 8, 60) for _ in range(40)]
+    texts += [(prose(rng, "cc", n), False) for n in (30, 90) for _ in range(20)]
+    texts += [(letters(40), False) for _ in range(20)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in identify(docs, model, ["doc_id"]).collect()}
+    kept = [i for i, (_, known) in enumerate(texts) if known]
+    assert sum(got[i].rejected for i in kept) <= 1
+    assert all(got[i].rejected for i, (_, known) in enumerate(texts) if not known)
+
+
+def test_language_equals_all_cosines(spark):
+    import numpy as np
+    rng = random.Random(9)
+    rows = [(prose(rng, lang, rng.randint(4, 50)), lang) for lang in SYLLABLES for _ in range(40)]
+    model = fit_languages(spark.createDataFrame(rows, "text string, lang string"))
+    docs = [(i, prose(rng, lang, 9)) for i, lang in enumerate([*SYLLABLES] * 10)]
+    got = identify(spark.createDataFrame(docs, "doc_id long, text string"), model, ["doc_id"]).collect()
+    for r in got:
+        dense = np.zeros(len(model.weights))
+        buckets, counts = letter_grams(docs[r.doc_id][1])
+        dense[buckets] = np.log1p(counts) * model.weights[buckets]
+        cosines = dense @ model.centroids / np.linalg.norm(dense)
+        assert r.lang_pred == model.languages[model.owner[cosines.argmax()]]
+        assert abs(r.score - cosines.max()) < 1e-5
+
+
+def test_kept_columns_named_like_new_ones(spark):
+    rows = spark.createDataFrame([("ba be", "aa", 1), ("kra kre", "bb", 0)], "text string, lang string, y int")
+    docs = spark.createDataFrame([(1, "ba bi", "old", 7)], "doc_id long, text string, score string, rejected int")
+    got = identify(docs, fit_languages(rows), ["doc_id", "score", "rejected"])
+    assert got.columns == ["doc_id", "lang_pred", "score", "rejected"] and got.first().lang_pred == "aa"
+    for fit, score, label in ((fit_quality, score_quality, "quality"), (fit_toxicity, score_toxicity, "toxic")):
+        model = fit(rows.select("text", F.col("y").alias(label)))
+        got = score(docs, model, ["score", "doc_id"])
+        assert got.columns == ["doc_id", "score"] and 0 <= got.first().score <= 1
+
+
 def test_language_grams_do_not_depend_on_runs():
     rng = random.Random(1)
     text = prose(rng, "bb", 20_000)
