@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheafline.llm.common import small_or_shuffled
 from sheafline.llm.decontaminate import contamination
 from sheafline.llm.language import fit_languages, identify
 from sheafline.llm.lines import without_repeated_lines
@@ -23,8 +24,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = fit_languages(docs)
     if not model.languages:
         return docs
-    rows = docs.select(F.struct("*").alias("row"), "text")
-    return identify(rows, model, ["row"]).where("not rejected").select("row.*")
+    rows = docs.withColumn("row", F.struct(*(c for c in docs.columns if c != "text")))
+    kept = identify(rows, model, ["row", "text"]).where("not rejected")
+    return kept.select(*("text" if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,10 +43,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id.
-    Rows that repeat its doc_id go too; rows without doc_id stay."""
-    kept = near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(
-        docs.where("doc_id is null")).select(docs.columns)
+    Rows that repeat its doc_id go too; rows without doc_id stay. Texts are shuffled only
+    where doc_ids repeat, or the ids to drop are too many to be broadcast."""
+    dropped = stored(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "dropped")
+    left = docs.join(small_or_shuffled(dropped, 16), "doc_id", "left_anti").select(docs.columns)
+    ids = docs.where("doc_id is not null").groupBy("doc_id").count()
+    repeated = stored(ids.where("count > 1").select("doc_id"), "repeated_ids")
+    if repeated.isEmpty():
+        return left
+    repeated = small_or_shuffled(repeated, 16)
+    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
