@@ -250,11 +250,12 @@ def without_repeated_lines(docs: DataFrame, keep: list[str] | None = None) -> Da
                         .alias("line_no", "line")).where(F.trim("line") != "").select(
         F.xxhash64("line").alias("id"), "line", where)
     classes = stored(similar_lines(lines), "line_classes")
-    placed = lines.select("id", "at").join(
+    placed = stored(lines.select("id", "at").join(
         small_or_shuffled(classes.withColumnRenamed("node", "id"), 24), "id", "left").select(
-        F.coalesce("component", "id").alias("class"), "at")
-    first = (placed.groupBy("class").agg(F.min("at").alias("first"), F.max("at").alias("final"))
-             .where("first < final").select("class", "first"))
+        F.coalesce("component", "id").alias("class"), "at"), "placed_lines")
+    # Stored, so that adaptive execution can split a hot class in the join.
+    first = stored(placed.groupBy("class").agg(F.min("at").alias("first"), F.max("at").alias("final"))
+                   .where("first < final").select("class", "first"), "first_lines")
     drops = (placed.join(first, "class").where(F.col("at") != F.col("first"))
              .groupBy(F.col("at.doc_id").alias("in_doc"), F.col("at.text_hash").alias("in_text"))
              .agg(F.collect_set("at.line_no").alias("drop")))
