@@ -8,7 +8,7 @@ from sheafline.catalog.base import query, r6, table
 from sheafline.catalog.chunks import COMPANY_CHUNKS_SQL
 from sheafline.catalog.filings import filings
 from sheafline.catalog.maps import weights_sql
-from sheafline.functions.vectors import as_array
+from sheafline.functions.vectors import as_array, euclidean
 from sheafline.operators.answering import DEFAULT_TEMPLATE, render_prompts
 from sheafline.operators.inverted import build_index, search_index
 from sheafline.operators.neighbors import nearest, nearest_by_hash
@@ -122,6 +122,21 @@ def _lsh_neighbors(spark, sf_dir):
     return nearest_by_hash(vector_queries(spark, sf_dir), plain_vectors(spark, sf_dir), 20)
 
 
+@query("lsh_neighbors_counts", f"""
+SELECT chunk_key AS query_id, 20::BIGINT AS n_found, 20::BIGINT AS n_distinct, 20 AS last_rank, true AS exact
+FROM ({QUERIES_SQL})""")
+def _lsh_neighbors_counts(spark, sf_dir):
+    """Every query has its k chunks, each once, at their exact distances."""
+    found = _lsh_neighbors(spark, sf_dir)
+    v = plain_vectors(spark, sf_dir)
+    gap = euclidean(as_array(v, "embeddings"), F.col("q"))
+    measured = found.join(v, "chunk_key").join(
+        v.select(F.col("chunk_key").alias("query_id"), as_array(v, "embeddings").alias("q")), "query_id")
+    return measured.groupBy("query_id").agg(
+        F.count("*").alias("n_found"), F.count_distinct("chunk_key").alias("n_distinct"),
+        F.max("rank").alias("last_rank"), F.bool_and(F.abs(F.col("distance") - gap) < 1e-6).alias("exact"))
+
+
 @query("lsh_neighbors_first", f"""
 SELECT a.chunk_key AS query_id, min(b.chunk_key) AS chunk_key, 0.0::DOUBLE AS distance
 FROM ({QUERIES_SQL}) a JOIN ({VECTORS_SQL}) b ON a.e = b.e GROUP BY a.chunk_key""")

@@ -27,8 +27,8 @@ from sheafline.session import stored
 # Bytes of one block of queries, which all tasks of a pass hold, and of each side of a
 # comparison within a bucket.
 BLOCK_BYTES = 64 * 2**20
-# Bucket parts whose list is broadcast at most; a longer list is joined by shuffle.
-MAX_BROADCAST_PARTS = 200_000
+# Bytes of a list of bucket parts that is broadcast at most; a longer one is joined by shuffle.
+MAX_BROADCAST_BYTES = 32 * 2**20
 SLICE_ROWS = 10_000
 MERGE_GROUPS = 64
 PAIRS_AT_ONCE = 65_536
@@ -232,7 +232,11 @@ def _salted(df: DataFrame, block: list[str], key: str, mine: str, other: str,
             my_parts: DataFrame, other_parts: DataFrame) -> DataFrame:
     """Put a row into its own part of its block, and copy it to each part that the
     other side's block is cut into."""
-    few = lambda p: F.broadcast(p) if p.count() <= MAX_BROADCAST_PARTS else p
+    def few(parts: DataFrame) -> DataFrame:
+        width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in parts.columns), F.lit(16))
+        size = parts.agg(F.sum(width.cast("long"))).first()[0] or 0
+        return F.broadcast(parts) if size <= MAX_BROADCAST_BYTES else parts
+
     rows = df.join(few(my_parts), block, "left").join(few(other_parts), block, "left")
     return rows.withColumn(
         mine, F.pmod(F.xxhash64(key), F.coalesce(f"n_{mine}", F.lit(1))).cast("int")
@@ -337,11 +341,13 @@ def nearest_by_hash(queries: DataFrame, chunks: DataFrame, k: int = 200, *, quer
                     query_vector: str = "embeddings", chunk_key: str = "chunk_key",
                     chunk_vector: str = "embeddings", bucket_length: float | None = None,
                     tables: int = 8, projections: int = 4, seed: int = 7,
-                    block_rows: int | None = None) -> DataFrame:
+                    block_rows: int | None = None, complete: bool = True) -> DataFrame:
     """Approximate mode for query tables too large to compare with every chunk.
 
     Only chunks that share a bucket with the query, in at least one hash table, are
-    compared; within those the distances and the ranking are exact. A bucket is a cell of
+    compared; within those the distances and the ranking are exact. A query whose buckets
+    hold fewer than ``k`` chunks is searched exactly instead, so every query gets ``k``
+    wherever there are as many; without ``complete`` it keeps what its buckets hold. A bucket is a cell of
     ``projections`` random projections together. ``bucket_length`` is by default the
     deviation of a projection, estimated from all chunks, so that it follows the scale of
     the vectors. Larger buckets and more ``tables`` find more; more
@@ -374,4 +380,13 @@ def nearest_by_hash(queries: DataFrame, chunks: DataFrame, k: int = 200, *, quer
                               stored(hashed(q, query_id), "hashed-queries"),
                               ["__table", "__bucket"], schema, k, "l2", block_rows)
     once = found.groupBy(query_id, chunk_key).agg(F.min("distance").alias("distance"))
-    return keep_best(once, k, query_id, chunk_key)
+    ranked = stored(keep_best(once, k, query_id, chunk_key), "ranked-by-hash")
+    if not complete:
+        return ranked
+    full = ranked.groupBy(query_id).count().where(F.col("count") >= k).select(query_id)
+    lacking = stored(queries.select(query_id, query_vector).join(full, query_id, "left_anti"), "lacking")
+    if lacking.isEmpty():
+        return ranked
+    exact = nearest(lacking, chunks, k, query_id=query_id, query_vector=query_vector,
+                    chunk_key=chunk_key, chunk_vector=chunk_vector)
+    return ranked.join(full, query_id, "left_semi").unionByName(exact)

@@ -180,7 +180,7 @@ def test_hash_mode_finds_most_and_compares_few(spark):
     q = c[rng.integers(0, 3000, 60)]
     queries, chunks = frame(spark, "query_id", q), frame(spark, "chunk_key", c)
     exact = {r[:2] for r in ranks(nearest(queries, chunks, 10))}
-    near = nearest_by_hash(queries, chunks, 3000)
+    near = nearest_by_hash(queries, chunks, 3000, complete=False)
     compared = near.count()
     assert compared <= 0.1 * len(q) * len(c)
     found = {(r.query_id, r.chunk_key) for r in near.where("rank <= 10").collect()}
