@@ -10,7 +10,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sheafline.catalog import all_queries  # noqa: E402
-from sheafline.session import local_session  # noqa: E402
+from sheafline.session import clean, local_session  # noqa: E402
 
 
 def main() -> None:
@@ -27,6 +27,7 @@ def main() -> None:
         started = time.perf_counter()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
+        clean(spark)
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "total_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",

@@ -60,13 +60,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def clean(spark: SparkSession) -> None:
-    """Delete the tables that this process has stored in the shared folder. Call it when
-    results have been written: DataFrames that read a stored table are void after it."""
+def mark() -> int:
+    """How many tables this process has stored so far; see :func:`clean`."""
+    return len(_written)
+
+
+def clean(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
+    """Delete the tables that this process has stored in the shared folder, or those
+    between two marks. Call it when results have been written: DataFrames that read a
+    deleted table are void after it."""
     context = spark.sparkContext
-    for path in map(context._jvm.org.apache.hadoop.fs.Path, _written):
+    for path in map(context._jvm.org.apache.hadoop.fs.Path, _written[since:until]):
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-    _written.clear()
+    del _written[since:until]
 
 
 def stored(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from sheafline.session import local_session  # noqa: E402
+from sheafline.session import clean, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -13,4 +13,5 @@ def spark():
     session = local_session(8, shuffle_partitions=4, memory="8g", app_name="tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clean(session)
     session.stop()
