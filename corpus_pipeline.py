@@ -15,7 +15,7 @@ from sheafline.llm.language import fit_languages, identify
 from sheafline.llm.lines import without_repeated_lines
 from sheafline.llm.minhash import near_duplicates
 from sheafline.llm.mixing import mix
-from sheafline.session import ensure_folder, stored
+from sheafline.session import clean, ensure_folder, mark, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,11 +78,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is stored before the next one reads it."""
+    """All stages over ``documents``; each is stored before the next one reads it, and what
+    it stored on the way, and its predecessor's rows, are deleted then."""
     ensure_folder(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    start = mark()
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = stored(docs, name)
+            clean(spark, start, mark() - 1)
     return docs
