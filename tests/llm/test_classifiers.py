@@ -149,3 +149,41 @@ def test_quality_edges(spark, rows):
     got = score_quality(docs, model, ["text"]).collect()
     assert len(got) == 6 and all(0 <= r.score <= 1 for r in got)
     assert score_quality(docs.limit(0), model, ["text"]).collect() == []
+
+
+def test_quality_votes_equal_all_neighbours(spark):
+    import numpy as np
+    from sheafline.llm.quality import NEIGHBOURS
+    rng = random.Random(10)
+    text = lambda good: prose(rng, "bb" if good else "cc", rng.randint(5, 40))
+    model = fit_quality(spark.createDataFrame([(text(i % 2), i % 2) for i in range(120)], "text string, quality int"))
+    docs = [(i, text(rng.random() < 0.5) + " " + text(rng.random() < 0.5)) for i in range(40)]
+    got = score_quality(spark.createDataFrame(docs, "doc_id long, text string"), model, ["doc_id"]).collect()
+    for r in got:
+        vector = np.zeros(len(model.weights))
+        buckets, values = model.tfidf(docs[r.doc_id][1])
+        vector[buckets] = values
+        latent = vector @ model.projection
+        cosines = [float(latent @ v / np.linalg.norm(latent)) for v in model.vectors]
+        best = sorted(range(len(cosines)), key=lambda i: -cosines[i])[:NEIGHBOURS]
+        votes = [max(cosines[i], 1e-6) ** 4 for i in best]
+        expected = sum(v for v, i in zip(votes, best) if model.labels[i] == 1) / sum(votes)
+        assert abs(r.score - expected) < 1e-3
+
+
+def test_toxicity_equals_the_worst_window(spark):
+    import math
+    from sheafline.llm.toxicity import WINDOW, word_grams, words_of
+    rng = random.Random(11)
+    text = lambda bad: prose(rng, "aa", 9) + (" grumfo " if bad else " ") + prose(rng, "aa", 9)
+    model = fit_toxicity(spark.createDataFrame([(text(i % 2), i % 2) for i in range(200)], "text string, toxic int"))
+    docs = [(i, text(i % 2) if i else "ba") for i in range(30)]
+    got = score_toxicity(spark.createDataFrame(docs, "doc_id long, text string"), model, ["doc_id"]).collect()
+    for r in got:
+        values = []
+        for word in words_of(docs[r.doc_id][1]):
+            grams, _ = word_grams([word])
+            values.append(sum(model.weights[g] for g in grams) / len(grams))
+        width = min(WINDOW, len(values))
+        worst = max(sum(values[i:i + width]) / width for i in range(len(values) - width + 1))
+        assert abs(r.score - 1 / (1 + math.exp(-max(-40, min(40, worst + model.bias))))) < 1e-9
