@@ -26,8 +26,12 @@ from sheafline.session import stored
 
 #: Equal payloads of at least so many bytes are stored once.
 REVISIT_BYTES = 1000
-#: Records of one archive file; three to a page.
+#: Bytes of one archive file before compression, as far as the mean payload tells, and its
+#: records at most; three to a page. A file is read whole.
+FILE_BYTES = 64 << 20
 RECORDS_PER_FILE = 60_000
+#: Bytes of the headers of a page's records.
+HEADER_BYTES = 1500
 #: Bytes of payload that a batch of parsed records may gather.
 BATCH_BYTES = 4 << 20
 CAPTURED = "2024-01-01T00:00:00Z"
@@ -124,9 +128,11 @@ def write_archives(pages: DataFrame, path: str, captured: str = CAPTURED) -> Non
         sides.append(_record(kind, [("WARC-Record-ID", own_id), *common,
                                     ("WARC-Concurrent-To", main),
                                     ("Content-Type", F.lit(content))], block))
+    mean = pages.agg(F.avg("size")).first()[0] or 0
+    most = min(RECORDS_PER_FILE, 3 * max(1, int(FILE_BYTES / (mean + HEADER_BYTES))))
     (rows.select(F.explode(F.array(response, *sides)).alias("value"))
      .write.option("lineSep", END + END).option("compression", "gzip")
-     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+     .option("maxRecordsPerFile", most).text(path))
 
 
 def records(stream: io.BufferedIOBase) -> Iterator[tuple[dict, bytes]]:

@@ -64,6 +64,15 @@ def test_every_row_is_a_capture_as_sql_has_it(spark, tmp_path):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected)) and len(got) == len(rows)
 
 
+def test_files_are_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr("sheafline.llm.warc.FILE_BYTES", 40_000)
+    rows = [(i, "u", f"{i} " * 3000, "", 0) for i in range(12)]
+    path = scratch_path(spark, "warc")
+    write_archives(spark.createDataFrame(rows, SCHEMA).coalesce(1), path)
+    assert spark.read.format("binaryFile").load(path).count() >= 4
+    assert captures(read_archives(spark, path)).count() == 12
+
+
 def test_no_pages(spark):
     assert roundtrip(spark, [])[1] == []
 
