@@ -3,7 +3,6 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from sheafline.functions.vectors import as_array
 from sheafline.operators import mapping
