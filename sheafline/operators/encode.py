@@ -23,6 +23,8 @@ from pyspark.sql.types import ArrayType, FloatType
 from sheafline.session import stored
 
 TERMS = "struct<ids: array<int>, counts: array<int>>"
+# Texts, or vectors, that a worker handles at a time within a batch.
+TEXTS_AT_ONCE, VECTORS_AT_ONCE = 256, 2048
 # Distinct words whose bucket a worker remembers; further ones are hashed again.
 REMEMBERED_WORDS = 300_000
 
@@ -55,28 +57,41 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
+def _in_slices(rows: pa.Array, at_once: int, fn: Callable[[pa.Array], pa.Array]) -> pa.Array:
+    """``fn`` of each slice of ``rows``, as one array; an empty array is one slice."""
+    starts = range(0, len(rows), at_once) or [0]
+    return pa.concat_arrays([fn(rows.slice(s, at_once)) for s in starts])
+
+
 def _sparse_counts(dimensions: int):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         buckets = WordBuckets(dimensions)
-        for texts in batches:
+
+        def count(texts: pa.Array) -> pa.Array:
             counted = [count_words(t or "", buckets) for t in texts.to_pylist()]
-            yield pa.StructArray.from_arrays(
+            return pa.StructArray.from_arrays(
                 [_lists([ids for ids, _ in counted]), _lists([n for _, n in counted])], ["ids", "counts"])
+
+        for texts in batches:
+            yield _in_slices(texts, TEXTS_AT_ONCE, count)
     return F.arrow_udf(run, TERMS)
 
 
 def _weighted(idf: np.ndarray):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for terms in batches:
-            ids, counts = terms.field("ids"), terms.field("counts")
-            rows = np.repeat(np.arange(len(terms)), np.diff(ids.offsets.to_numpy()))
-            at = ids.flatten().to_numpy(zero_copy_only=False)
-            dense = np.zeros((len(terms), len(idf)))
-            dense[rows, at] = counts.flatten().to_numpy(zero_copy_only=False) * idf[at]
-            norms = np.sqrt((dense * dense).sum(axis=1, keepdims=True))
-            np.divide(dense, norms, out=dense, where=norms > 0)
-            offsets = np.arange(len(terms) + 1, dtype=np.int32) * len(idf)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(dense.ravel()))
+            yield _in_slices(terms, VECTORS_AT_ONCE, weigh)
+
+    def weigh(terms: pa.Array) -> pa.Array:
+        ids, counts = terms.field("ids"), terms.field("counts")
+        rows = np.repeat(np.arange(len(terms)), np.diff(ids.offsets.to_numpy()))
+        at = ids.flatten().to_numpy(zero_copy_only=False)
+        dense = np.zeros((len(terms), len(idf)))
+        dense[rows, at] = counts.flatten().to_numpy(zero_copy_only=False) * idf[at]
+        norms = np.sqrt((dense * dense).sum(axis=1, keepdims=True))
+        np.divide(dense, norms, out=dense, where=norms > 0)
+        offsets = np.arange(len(terms) + 1, dtype=np.int32) * len(idf)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(dense.ravel()))
     return F.arrow_udf(run, "array<double>")
 
 

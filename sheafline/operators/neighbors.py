@@ -29,7 +29,15 @@ from sheafline.session import stored
 BLOCK_BYTES = 64 * 2**20
 # Bytes of a list of bucket parts that is broadcast at most; a longer one is joined by shuffle.
 MAX_BROADCAST_BYTES = 32 * 2**20
-SLICE_ROWS = 10_000
+# Bytes of the hits that a task holds; more are sent on before the scan has ended.
+HELD_BYTES = 16 * 2**20
+# Hits per query that a task holds; with a larger k it may send some on early.
+HELD_PER_QUERY = 2048
+# Rows of chunks, cells of a matrix of rough distances, and bytes of the vectors measured
+# exactly, at a time: what a task needs besides its hits, whatever the tables' size.
+SLICE_ROWS = 4096
+CELLS_AT_ONCE = 2**20
+EXACT_BYTES = 4 * 2**20
 MERGE_GROUPS = 64
 PAIRS_AT_ONCE = 65_536
 
@@ -68,8 +76,9 @@ class BestChunks:
     def _exact(self, qi: np.ndarray, x: np.ndarray, xi: np.ndarray) -> np.ndarray:
         """Distance pair by pair, so equal vectors get equal distances."""
         out = np.empty(len(qi))
-        for s in range(0, len(qi), PAIRS_AT_ONCE):
-            e = s + PAIRS_AT_ONCE
+        step = max(1, EXACT_BYTES // (8 * max(1, x.shape[1])))
+        for s in range(0, len(qi), step):
+            e = s + step
             a, b = self.q[qi[s:e]], x[xi[s:e]]
             out[s:e] = 1 - (a * b).sum(axis=1) if self.metric == "cosine" else ((a - b) ** 2).sum(axis=1)
         return out
@@ -92,7 +101,7 @@ class BestChunks:
         x_sq = (x * x).sum(axis=1)
         scale = self.q_sq.max(initial=0) + x_sq.max(initial=0)
         slack = 8 * (x.shape[1] + 4) * np.finfo(np.float64).eps * max(scale, 1e-300)
-        step = max(1, 4_000_000 // len(x))
+        step = max(1, CELLS_AT_ONCE // len(x))
         for s in range(0, len(self.q), step):
             q = self.q[s:s + step]
             if self.metric == "cosine":
@@ -109,7 +118,9 @@ class BestChunks:
                     rows, _ = self._ranked(*rows)
                 self.waiting.append(rows)
                 self.n_waiting += len(rows[0])
-        if self.rows is None or self.n_waiting > max(PAIRS_AT_ONCE, len(self.rows[0]) // 2):
+                if self.n_waiting > max(PAIRS_AT_ONCE, 0 if self.rows is None else len(self.rows[0]) // 2):
+                    self._merge()
+        if self.rows is None:
             self._merge()
 
     def _ranked(self, qi: np.ndarray, ki: np.ndarray, d: np.ndarray):
@@ -131,7 +142,20 @@ class BestChunks:
         self.rows, place = self._ranked(*(np.concatenate(p) for p in zip(*kept, *self.waiting)))
         self.waiting, self.n_waiting = [], 0
         last = place == self.k - 1
-        self.bound[self.rows[0][last]] = self.rows[2][last]
+        at = self.rows[0][last]
+        self.bound[at] = np.minimum(self.bound[at], self.rows[2][last])
+
+    def full(self) -> bool:
+        """Whether the hits held are more than HELD_BYTES. Those may be sent on then, and
+        their bounds still hold: whoever merges gets more hits than needed, none less."""
+        held = 0 if self.rows is None else len(self.rows[0])
+        return 24 * (held + self.n_waiting) > HELD_BYTES
+
+    def batches(self, query_ids: pa.Array, schema: pa.Schema) -> list[pa.RecordBatch]:
+        """The hits held, which are let go."""
+        found = self.table(query_ids, schema).to_batches(max_chunksize=PAIRS_AT_ONCE)
+        self.rows = None
+        return found
 
     def table(self, query_ids: pa.Array, schema: pa.Schema) -> pa.Table:
         self._merge()
@@ -143,6 +167,13 @@ class BestChunks:
                          pa.array(distance)], schema=schema)
 
 
+def _slices(batch: pa.RecordBatch, chunk_key: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Vectors and keys of a batch, SLICE_ROWS at a time."""
+    for s in range(0, len(batch), SLICE_ROWS):
+        part = batch.slice(s, SLICE_ROWS)
+        yield as_matrix(part.column("__vector")), part.column(chunk_key).to_numpy(zero_copy_only=False)
+
+
 def _flat(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
@@ -180,8 +211,11 @@ def _compare_with_all(chunks: DataFrame, query_rows: pa.Table, schema: StructTyp
         ids, matrix = held.value
         best = BestChunks(matrix, k, metric)
         for b in batches:
-            best.add(as_matrix(b.column("__vector")), b.column(chunk_key).to_numpy(zero_copy_only=False))
-        yield from best.table(ids, arrow).to_batches()
+            for x, keys in _slices(b, chunk_key):
+                best.add(x, keys)
+                if best.full():
+                    yield from best.batches(ids, arrow)
+        yield from best.batches(ids, arrow)
 
     return chunks.mapInArrow(scan, schema)
 
@@ -215,14 +249,18 @@ def _compare_within(chunks: DataFrame, queries: DataFrame, within: Sequence[str]
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[str, BestChunks] = {}
         for b in batches:
-            x, keys = as_matrix(b.column("__vector")), b.column(chunk_key).to_numpy(zero_copy_only=False)
-            scope = np.array(b.column("__scope").to_pylist(), dtype=object)
-            for s in set(scope) & held.value.keys():
-                if s not in best:
-                    best[s] = BestChunks(held.value[s][1], k, metric)
-                best[s].add(x[scope == s], keys[scope == s])
+            for at in range(0, len(b), SLICE_ROWS):
+                part = b.slice(at, SLICE_ROWS)
+                x, keys = next(_slices(part, chunk_key))
+                scope = np.array(part.column("__scope").to_pylist(), dtype=object)
+                for s in set(scope) & held.value.keys():
+                    if s not in best:
+                        best[s] = BestChunks(held.value[s][1], k, metric)
+                    best[s].add(x[scope == s], keys[scope == s])
+                    if best[s].full():
+                        yield from best[s].batches(held.value[s][0], arrow)
         for s, found in best.items():
-            yield from found.table(held.value[s][0], arrow).to_batches()
+            yield from found.batches(held.value[s][0], arrow)
 
     mine = chunks.join(F.broadcast(asked), list(within), "left_semi")
     return mine.select(chunk_key, "__vector", _scope(within)).mapInArrow(scan, schema)
@@ -310,8 +348,10 @@ def nearest(queries: DataFrame, chunks: DataFrame, k: int = 200, *, query_id: st
 
     The queries are stored and cut into blocks of bounded bytes (or of ``query_rows``).
     Each block goes to every task of one pass over the chunk vectors, which stay where
-    they lie and are never shuffled; only the k best of each task are. Several blocks are
-    several passes, each stored before the next block is read.
+    they lie and are never shuffled; only the k best of each task are, and a task that finds
+    more than it may hold sends some on before it has ended. Several blocks are several
+    passes, each stored before the next block is read. A ``k`` of all chunks is no more
+    passes than a small one.
     """
     if k < 1 or metric not in ("l2", "cosine"):
         raise ValueError("need k >= 1 and metric l2 or cosine")
@@ -320,7 +360,8 @@ def nearest(queries: DataFrame, chunks: DataFrame, k: int = 200, *, query_id: st
     c = _vectors_only(chunks, chunk_key, chunk_vector, within)
     q = stored(q, "queries")
     n, width = q.agg(F.count("*"), F.max(F.size("__vector"))).first()
-    most = query_rows or max(1, BLOCK_BYTES // (8 * (width or 1) + 24 * k))
+    most = query_rows or max(1, min(BLOCK_BYTES // (8 * (width or 1)),
+                                    HELD_BYTES // (24 * min(k, HELD_PER_QUERY))))
     blocks = -(-n // most) or 1
 
     def compared(some: DataFrame) -> DataFrame:
