@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafline.operators.encode import HashingEncoder
@@ -70,32 +70,30 @@ def first_by_content(rows: DataFrame, group: Sequence[str], same: Column, order:
 
 
 def collect_chunks(hits: DataFrame, query_id: str = "query_id", content: str = "text",
-                   metadata: Sequence[str] = METADATA, extra: Sequence[str] = ("chunk_key",)) -> DataFrame:
-    """Hits of each query as one array ordered by rank; at most k entries each."""
+                   metadata: Sequence[str] = METADATA, extra: Sequence[str] = ("chunk_key",),
+                   per_row: int | None = None) -> DataFrame:
+    """Hits of each query as one array ordered by rank; at most k entries each. With
+    ``per_row`` a query has a row for each so many ranks, numbered by ``part``."""
     entry = F.struct("rank", "distance", F.col(content).alias("content"), *metadata, *extra)
-    return hits.groupBy(query_id).agg(F.array_sort(F.collect_list(entry)).alias("chunks"))
+    own = [F.col(query_id)]
+    if per_row is not None:
+        own.append(F.floor((F.col("rank") - 1) / per_row).cast("int").alias("part"))
+    return hits.groupBy(*own).agg(F.array_sort(F.collect_list(entry)).alias("chunks"))
 
 
 def with_chunks(queries: DataFrame, collected: DataFrame, query_id: str = "query_id") -> DataFrame:
-    """Every query with its chunks; an empty array where nothing was found."""
+    """Every query with its chunks; an empty array, as part 0, where nothing was found."""
     entry_type = collected.schema["chunks"].dataType.simpleString()
-    return queries.join(collected, query_id, "left").withColumn(
+    found = queries.join(collected, query_id, "left").withColumn(
         "chunks", F.coalesce("chunks", F.array().cast(entry_type)))
+    return found.withColumn("part", F.coalesce("part", F.lit(0))) if "part" in collected.columns else found
 
 
-def retrieve(queries: DataFrame, chunks: DataFrame, k: int = 200, year: str | int | None = None, *,
-             query_id: str = "query_id", query_vector: str = "embeddings", chunk_key: str = "chunk_key",
-             chunk_vector: str = "embeddings", content: str = "text",
-             metadata: Sequence[str] = METADATA, find=nearest, **find_options) -> DataFrame:
-    """All queries at once: top k, then the year, then one hit per content.
-
-    Returns the queries with an array ``chunks`` of hits in rank order. ``find`` is
-    the search, :func:`nearest` or :func:`nearest_by_hash`. Chunk keys must be unique; a
-    key that two of the chunks found share is an error.
-
-    The text of the chunk table is read once, for the chunks that any query found;
-    duplicates are removed on keys and digests, before the texts are joined.
-    """
+def find_hits(queries: DataFrame, chunks: DataFrame, k: int = 200, year: str | int | None = None, *,
+              query_id: str = "query_id", query_vector: str = "embeddings", chunk_key: str = "chunk_key",
+              chunk_vector: str = "embeddings", content: str = "text",
+              metadata: Sequence[str] = METADATA, find=nearest, **find_options) -> tuple[DataFrame, DataFrame]:
+    """The hits of :func:`retrieve` without texts, and the chunks that any query found."""
     ranked = stored(find(queries, chunks, k, query_id=query_id, query_vector=query_vector,
                          chunk_key=chunk_key, chunk_vector=chunk_vector, **find_options), "ranked")
     columns = [c for c in dict.fromkeys([*metadata, content]) if c != chunk_key]
@@ -109,11 +107,33 @@ def retrieve(queries: DataFrame, chunks: DataFrame, k: int = 200, year: str | in
         raise ValueError(f"{chunk_key} is not unique in the chunk table")
     unique = first_by_content(attach_chunks(ranked, found.select(chunk_key, "__same"), chunk_key),
                               [query_id], F.col("__same"), ["rank"])
-    hits = unique.drop("__same").join(found.drop("__same"), chunk_key)
-    collected = collect_chunks(hits, query_id, content, metadata, (chunk_key,))
+    return unique.drop("__same"), found.drop("__same")
+
+
+def retrieve(queries: DataFrame, chunks: DataFrame, k: int = 200, year: str | int | None = None, *,
+             query_id: str = "query_id", query_vector: str = "embeddings", chunk_key: str = "chunk_key",
+             content: str = "text", metadata: Sequence[str] = METADATA, **options) -> DataFrame:
+    """All queries at once: top k, then the year, then one hit per content.
+
+    Returns the queries with an array ``chunks`` of hits in rank order. ``find`` is
+    the search, :func:`nearest` or :func:`nearest_by_hash`. Chunk keys must be unique; a
+    key that two of the chunks found share is an error.
+
+    The text of the chunk table is read once, for the chunks that any query found;
+    duplicates are removed on keys and digests, before the texts are joined.
+    """
+    hits, found = find_hits(queries, chunks, k, year, query_id=query_id, query_vector=query_vector,
+                            chunk_key=chunk_key, content=content, metadata=metadata, **options)
+    collected = collect_chunks(hits.join(found, chunk_key), query_id, content, metadata, (chunk_key,))
     return with_chunks(queries.drop(query_vector), collected, query_id)
 
 
+def best_hits(hits: DataFrame, best: int, query_id: str = "query_id") -> DataFrame:
+    """The ``best`` first hits of each query."""
+    first = Window.partitionBy(query_id).orderBy("rank")
+    return hits.withColumn("__nth", F.row_number().over(first)).where(F.col("__nth") <= best).drop("__nth")
+
+
 def context_text(chunks: Column, best: int = 1, metadata: Sequence[str] = METADATA) -> Column:
     """The ``best`` first chunks as text, one after the other; '' without chunks."""
     def shown(c: Column) -> Column:

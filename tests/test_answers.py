@@ -201,3 +201,32 @@ def test_clean_removes_what_was_stored(spark):
     with pytest.raises(Exception, match="PATH_NOT_FOUND|not exist"):
         spark.read.parquet(path).count()
     session._written.extend(before)
+
+
+def test_hits_in_rows_of_bounded_size(spark):
+    rows = spark.createDataFrame([(f"c{i:02d}", str(2019 + i % 2), "1", 1, f"text {i // 4} " + "revenue " * (i // 4)) for i in range(60)],
+                                 "chunk_key string, year string, section_number string, chunk_number int, text string")
+    table, encoder = build_vector_table(rows, HashingEncoder(64))
+    questions = spark.createDataFrame([(0, "revenue"), (1, "text 3"), (2, "revenue")], "query_id bigint, query string")
+    for year, best in ((2020, 1), (2020, 3), (1999, 1)):
+        whole = ask(questions, table, encoder, year, lambda prompts, **_: prompts, k=60, best=best)
+        parts = ask(questions, table, encoder, year, lambda prompts, **_: prompts, k=60, best=best, per_row=9)
+        assert set(parts.columns) == {*whole.columns, "part"}
+        got = {}
+        for r in sorted(parts.collect(), key=lambda r: r.part):
+            assert len(r.chunks) <= 9
+            got.setdefault((r.query, r.query_id, r.position, r.answer, r.error), []).extend(r.chunks)
+        assert got == {(r.query, r.query_id, r.position, r.answer, r.error): r.chunks for r in whole.collect()}
+        assert parts.count() == (2 if year == 1999 else parts.select("query", "part").distinct().count())
+
+
+def test_company_questions_ask_for_all_chunks(spark, tmp_path):
+    from sheafline.catalog import all_queries
+    spark.createDataFrame([(3 * i + 2, f"first line {i}", "src3") for i in range(300)], "doc_id long, text string, source string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "line 7"), (2, "first"), (3, "line 7")], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet"))
+    got = {r.query: r.n_chunks for r in all_queries()["company_questions_json"](spark, str(tmp_path)).collect()}
+    # One distinct line for each filing that has a company; section 7 is an empty text.
+    n = sum((3 * i + 2) % 11 != 0 for i in range(300))
+    assert got == {"line 7": n + 1, "first": n + 1}
