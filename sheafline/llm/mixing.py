@@ -15,8 +15,9 @@ permuted order.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from sheafline.llm.common import small_or_shuffled
@@ -40,19 +41,21 @@ def token_count(text: Column | str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x09-\x0D\x20]+")), F.lit(0)).cast("long")
 
 
-def _bisected(sources: DataFrame, total: int, below: Column) -> float:
-    """Where ``below``, an aggregate over the sources' ``tokens`` and ``weight`` that is
-    true for exponents from some point on, begins to be true; 1 if nowhere, 0 if always.
-    Each job tries SECTIONS - 1 exponents between the bounds."""
+def _bisected(sources: DataFrame, total: int, below: Callable[[Row], bool]) -> float:
+    """Where ``below``, which is true for exponents from some point on, begins to be true; 1
+    if nowhere, 0 if always. It gets, for the sources' powers p of one exponent, their sum
+    ``every``, the sum ``logs`` of p log p and the maximum ``most`` of p / tokens. Each job
+    tries SECTIONS - 1 exponents between the bounds and joins nothing: a broadcast takes a
+    page of an executor's memory, however small it is."""
     low, high = 0.0, 1.0
     for step in range(STEPS):
         tried = [low + (high - low) * i / SECTIONS for i in range(0 if step == 0 else 1, SECTIONS)]
         power = sources.select("tokens", F.explode(F.array(*map(F.lit, tried))).alias("a")).select(
             "tokens", "a", F.pow(F.col("tokens") / F.lit(float(total)), F.col("a")).alias("power"))
-        every = power.groupBy("a").agg(F.sum("power").alias("every"))
-        found = power.join(F.broadcast(every), "a").withColumn(
-            "weight", F.col("power") / F.col("every")).groupBy("a").agg(below.alias("below"))
-        reached = [r["a"] for r in found.collect() if r["below"]]
+        found = power.groupBy("a").agg(
+            F.sum("power").alias("every"), F.sum(F.col("power") * F.log("power")).alias("logs"),
+            F.max(F.col("power") / F.col("tokens")).alias("most"))
+        reached = [r["a"] for r in found.collect() if below(r)]
         if 0.0 in reached:
             return 0.0
         high = min(reached, default=high)
@@ -68,10 +71,10 @@ def exponent(sources: DataFrame, total: int, budget: int, entropy_share: float,
     n = sources.count()
     if n < 2:
         return 1.0
-    entropy = -F.sum(F.col("weight") * F.log("weight"))
-    most = F.max(F.lit(float(budget)) * F.col("weight") / F.col("tokens"))
-    by_entropy = _bisected(sources, total, entropy < entropy_share * math.log(n))
-    by_limit = _bisected(sources, total, most <= repetitions)
+    # Of the weights p / every: the entropy, and the most passes over a source.
+    by_entropy = _bisected(sources, total, lambda r: math.log(r["every"]) - r["logs"] / r["every"]
+                           < entropy_share * math.log(n))
+    by_limit = _bisected(sources, total, lambda r: budget * (r["most"] / r["every"]) <= repetitions)
     return round(max(by_entropy, by_limit), DIGITS)
 
 
