@@ -321,13 +321,17 @@ def _compare_by_block(chunks: DataFrame, queries: DataFrame, block: list[str], s
     return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(compare, schema)
 
 
-def keep_best(found: DataFrame, k: int, query_id: str, chunk_key: str) -> DataFrame:
+def keep_best(found: DataFrame, k: int, query_id: str, chunk_key: str, every: bool = False) -> DataFrame:
     """Merge local results: rank 1..k per query by distance, then chunk key.
 
     Two steps, because one query has up to k rows from every task: first within a
-    fixed number of groups per query, then over the groups.
+    fixed number of groups per query, then over the groups. Where ``every`` row is among
+    the k best, the first step would drop none and is left out.
     """
     order = ["distance", chunk_key]
+    if every:
+        ranks = Window.partitionBy(query_id).orderBy(*order)
+        return found.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k)
     grouped = found.withColumn("__group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
     local = Window.partitionBy(query_id, "__group").orderBy(*order)
     final = Window.partitionBy(query_id).orderBy(*order)
@@ -363,11 +367,12 @@ def nearest(queries: DataFrame, chunks: DataFrame, k: int = 200, *, query_id: st
     most = query_rows or max(1, min(BLOCK_BYTES // (8 * (width or 1)),
                                     HELD_BYTES // (24 * min(k, HELD_PER_QUERY))))
     blocks = -(-n // most) or 1
+    every = k > HELD_PER_QUERY and k >= chunks.count()
 
     def compared(some: DataFrame) -> DataFrame:
         found = (_compare_within(c, some, within, schema, k, metric) if within
                  else _compare_with_all(c, some.toArrow(), schema, k, metric))
-        return keep_best(found, k, query_id, chunk_key)
+        return keep_best(found, k, query_id, chunk_key, every)
 
     if blocks == 1:
         return compared(q)

@@ -89,18 +89,34 @@ def with_chunks(queries: DataFrame, collected: DataFrame, query_id: str = "query
     return found.withColumn("part", F.coalesce("part", F.lit(0))) if "part" in collected.columns else found
 
 
+def with_chunk_rows(queries: DataFrame, collected: DataFrame, hits: DataFrame,
+                    query_id: str = "query_id") -> DataFrame:
+    """What :func:`with_chunks` gives, for ``collected`` rows that hold far more than the
+    queries: those are broadcast while they are few, so that no content is shuffled again.
+    ``queries`` and ``hits`` are stored."""
+    entry_type = collected.schema["chunks"].dataType.simpleString()
+    columns = [*queries.columns, "chunks", "part"]
+    found = collected.join(broadcast_if_small(queries), query_id).select(*columns)
+    nothing = queries.join(hits.select(query_id).distinct(), query_id, "left_anti").withColumns(
+        {"chunks": F.array().cast(entry_type), "part": F.lit(0)})
+    return found.unionByName(nothing.select(*columns))
+
+
 def find_hits(queries: DataFrame, chunks: DataFrame, k: int = 200, year: str | int | None = None, *,
               query_id: str = "query_id", query_vector: str = "embeddings", chunk_key: str = "chunk_key",
               chunk_vector: str = "embeddings", content: str = "text",
               metadata: Sequence[str] = METADATA, find=nearest, **find_options) -> tuple[DataFrame, DataFrame]:
     """The hits of :func:`retrieve` without texts, and the chunks that any query found."""
-    ranked = stored(find(queries, chunks, k, query_id=query_id, query_vector=query_vector,
-                         chunk_key=chunk_key, chunk_vector=chunk_vector, **find_options), "ranked")
+    ranked = find(queries, chunks, k, query_id=query_id, query_vector=query_vector,
+                  chunk_key=chunk_key, chunk_vector=chunk_vector, **find_options)
     columns = [c for c in dict.fromkeys([*metadata, content]) if c != chunk_key]
     shown = chunks.select(chunk_key, *columns)
-    # The ranks are fixed by now, so the year may be applied to the chunk side.
+    # The ranks are fixed by now, so the year may be applied to the chunk side, and hits of
+    # another year need not be stored.
     if year is not None:
         shown = in_year(shown, year)
+        ranked = ranked.join(broadcast_if_small(shown.select(chunk_key)), chunk_key, "left_semi")
+    ranked = stored(ranked, "ranked")
     found = stored(chunks_found(ranked, shown, chunk_key).withColumn(
         "__same", digest(F.col(content))), "found-chunks")
     if found.groupBy(chunk_key).count().where("count > 1").limit(1).count():

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from sheafline.operators.answering import (
     DEFAULT_TEMPLATE, apply_generator, last_per_query, render_prompts, with_answers,
 )
-from sheafline.operators.retrieval import best_hits, collect_chunks, find_hits, retrieve, with_chunks, with_context
+from sheafline.operators.retrieval import (
+    best_hits, collect_chunks, find_hits, retrieve, with_chunk_rows, with_chunks, with_context,
+)
 from sheafline.session import stored
 from sheafline.sources.filings import spread
 
@@ -58,5 +60,6 @@ def ask(questions: DataFrame, chunks: DataFrame, encoder, year: str | int | None
     found = answers.select("query_id", "answer", "error").join(
         prompted.drop("prompt", "context"), "query_id")
     if per_row is not None:
-        found = with_chunks(found.drop("chunks"), collect_chunks(slim.join(texts, key), **shape, per_row=per_row))
+        collected = collect_chunks(slim.join(texts, key), **shape, per_row=per_row)
+        found = with_chunk_rows(stored(found.drop("chunks"), "answered"), collected, slim)
     return with_answers(found)

@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sheafline.session import without_old_shuffles
+
+# Bytes of contents that are joined to results in one turn, before compression.
+TURN_BYTES = 2**29
+
 
 def write_plot_csv(points: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """The plot table as CSV with a header: PC1, PC2, Cluster, Is_Outlier, Section."""
@@ -56,9 +61,24 @@ def result_records(results: DataFrame, with_score: bool = False) -> DataFrame:
     )
 
 
-def write_results_json(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_results_json(records: DataFrame, path: str, mode: str = "errorifexists",
+                       compression: str | None = None) -> None:
     """One JSON object per line and query; null fields (no score) are left out."""
-    records.write.mode(mode).option("ignoreNullFields", True).json(path)
+    (records.write.mode(mode).option("ignoreNullFields", True).option("zlib.compress.level", "BEST_SPEED")
+     .json(path, compression=compression))
+
+
+def write_answers_json(answered: DataFrame, path: str, content_bytes: int, query_id: str = "query_id") -> None:
+    """Save all results that hold a large part of the chunk table each, as compressed lines.
+
+    ``content_bytes`` are about those of all contents in all results. They are joined to the
+    results in turns, some queries at a time, so that no more than TURN_BYTES of them are
+    shuffled at once."""
+    turns = -(-content_bytes // TURN_BYTES) or 1
+    with without_old_shuffles(answered.sparkSession):
+        for turn in range(turns):
+            mine = answered.where(F.pmod(F.xxhash64(query_id), F.lit(turns)) == turn)
+            write_results_json(result_records(mine), path, "append" if turn else "errorifexists", "gzip")
 
 
 RESULT_SCHEMA = (

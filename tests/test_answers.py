@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -230,3 +231,41 @@ def test_company_questions_ask_for_all_chunks(spark, tmp_path):
     # One distinct line for each filing that has a company; section 7 is an empty text.
     n = sum((3 * i + 2) % 11 != 0 for i in range(300))
     assert got == {"line 7": n + 1, "first": n + 1}
+
+
+def test_company_questions_write_less_than_their_contents(spark, tmp_path, monkeypatch):
+    import random
+
+    from sheafline import session
+    from sheafline.catalog import all_queries
+    from sheafline.sources import sinks
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(400)]
+    texts = [f"line {i}\nmore\n" + " ".join(rng.choices(words, k=150)) for i in range(90)]
+    spark.createDataFrame([(i, t, "src3") for i, t in enumerate(texts)],
+                          "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, f"which {words[i]}") for i in range(30)], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet"))
+
+    def run():
+        before = session.mark()
+        rows = sorted(map(tuple, all_queries()["company_questions_json"](spark, str(tmp_path)).collect()), key=str)
+        size = {}
+        for path in map(Path, (p.removeprefix("file:") for p in session._written[before:])):
+            size[path.name.rpartition("-")[0]] = sum(f.stat().st_size for f in path.rglob("part-*"))
+        ranked = [p for p in session._written[before:] if "/ranked-" in p]
+        return rows, size, spark.read.parquet(ranked[0]).count()
+
+    own = [i for i in range(90) if i % 3 == 2 and i % 11]
+    rows, size, ranked = run()
+    # Lines and numbers of the year's filings: a first line and a rest of each, and one second line.
+    assert {r[3] for r in rows} == {2 * len(own) + 1} and len(rows) == 30
+    assert size["answers-json"] < 0.7 * 30 * sum(len(texts[i]) for i in own)
+    # Hits of the other years are ranked, but not stored.
+    assert ranked == 30 * 3 * len(own)
+    turns = []
+    real = sinks.write_results_json
+    monkeypatch.setattr(sinks, "write_results_json", lambda *a, **b: turns.append(a[2]) or real(*a, **b))
+    monkeypatch.setattr(sinks, "TURN_BYTES", 200_000)
+    assert run()[0] == rows and len(turns) > 2
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
